@@ -68,20 +68,26 @@ def frequency_index(df: DataFrame, col: str, idx_col: str | None = None, count_c
 
 
 def apply_index(
-    df: DataFrame, dictionary: DataFrame, col: str, idx_col: str | None = None, keep: bool = True
+    df: DataFrame,
+    dictionary: DataFrame,
+    col: str,
+    out_col: str | None = None,
+    dict_col: str | None = None,
+    keep: bool = True,
 ) -> DataFrame:
-    """Map values through a dictionary from :func:`frequency_index`.
+    """Map ``col`` through a dictionary from :func:`frequency_index` of ``dict_col``.
 
     Unseen and null values get index ``len(dictionary)`` when ``keep``
     (Spark ML's ``handleInvalid='keep'``), else null. The dictionary's size
     is read through a scalar subquery, so the plan stays lazy.
     """
-    idx_col = idx_col or f"{col}_idx"
-    d = dictionary.select(F.col(col).alias("__v"), F.col(idx_col).alias("__i"))
+    dict_col = dict_col or col
+    out_col = out_col or f"{col}_idx"
+    d = dictionary.select(F.col(dict_col).alias("__v"), F.col(f"{dict_col}_idx").alias("__i"))
     size = dictionary.select(F.count(F.lit(1)).cast("double")).scalar()
     out = df.join(d, F.col(col) == F.col("__v"), "left")
     idx = F.coalesce(F.col("__i"), size) if keep else F.col("__i")
-    return out.withColumn(idx_col, idx).drop("__v", "__i")
+    return out.withColumn(out_col, idx).drop("__v", "__i")
 
 
 def index_to_name(

@@ -169,8 +169,7 @@ def label_filter(spark, sf):
 def prediction_as_int(spark, sf):
     conn = tables.conn_records(spark, sf)
     d = labels.frequency_index(conn, C.LABEL_COL)
-    scored = labels.apply_index(conn.select("key", "rule_label"), d.withColumnRenamed(C.LABEL_COL, "rule_label")
-                                .withColumnRenamed(f"{C.LABEL_COL}_idx", "rule_label_idx"), "rule_label")
+    scored = labels.apply_index(conn.select("key", "rule_label"), d, "rule_label", dict_col=C.LABEL_COL)
     return scored.select(
         "key",
         F.col("rule_label_idx").cast("double").alias("prediction"),
