@@ -29,6 +29,16 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return conf
 
 
+def cut_lineage(df):
+    """Materialise ``df`` in the shared checkpoint folder and continue from there.
+
+    Survives executor loss (the files are on shared storage), unlike
+    ``localCheckpoint``.
+    """
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A path for intermediate tables and stream checkpoints under the shared folder."""
     base = checkpoint_dir(spark)
