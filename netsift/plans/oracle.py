@@ -193,7 +193,7 @@ _q(
 
 
 def oracle_sql() -> dict[str, str]:
-    from . import oracle_more  # noqa: F401
+    from . import oracle_more, oracle_stream  # noqa: F401
 
     return dict(SQL)
 

@@ -1,0 +1,72 @@
+"""Synthetic labelled connection records, one per row of a driving table.
+
+Every draw is a content hash of the driving row's key with its own salt, so
+generation is deterministic per row, independent of partitioning and of
+the order rows are produced in (a global seeded RNG is not), and it scales
+with the driving table instead of a driver-side loop.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+from ..config import BENIGN_LABEL, LABEL_COL
+from ..functions.hashing import hash32, unit_hash
+
+# Fixed value sets of the generator.
+PROTOCOLS = ["tcp", "udp", "icmp"]
+CONN_STATES = ["S0", "S1", "SF", "REJ", "RSTO", "RSTR", "RSTOS0", "OTH", "SH"]
+SERVICES = ["http", "dns", "ftp", "smtp", "ssh", "ssl", "dhcp", "-", "other"]
+HISTORIES = ["S", "Dd", "F", "ShADadFf", "-", "^", "C", "c"]
+# Integer ranges (inclusive) per class: (benign lo, benign hi, attack lo, attack hi).
+RANGES = {
+    "orig_bytes": (0, 10000, 1000, 500000),
+    "orig_pkts": (0, 100, 10, 5000),
+    "orig_ip_bytes": (0, 20000, 2000, 1000000),
+    "resp_bytes": (0, 10000, 100, 200000),
+    "resp_pkts": (0, 100, 1, 3000),
+    "resp_ip_bytes": (0, 20000, 500, 500000),
+}
+
+
+def label_draw(key: Column, benign_pct: int = 60, n_attack: int = 10) -> Column:
+    """``none`` with probability ``benign_pct``/100, else one of ``n_attack`` labels evenly."""
+    b = hash32(key, "syn-label|") % 100
+    per = (100 - benign_pct) // n_attack
+    idx = F.least(F.floor((b - benign_pct) / per), F.lit(n_attack - 1)).cast("int")
+    return F.when(b < benign_pct, F.lit(BENIGN_LABEL)).otherwise(F.concat(F.lit("T"), (F.lit(1000) + idx).cast("string")))
+
+
+def _pick(key: Column, salt: str, values: list[str]) -> Column:
+    return F.element_at(F.array(*[F.lit(v) for v in values]), (hash32(key, salt) % len(values) + 1).cast("int"))
+
+
+def _int_in(key: Column, salt: str, lo: int, hi: int) -> Column:
+    return F.lit(lo) + hash32(key, salt) % (hi - lo + 1)
+
+
+def synthetic_records(driver: DataFrame, key: str = "key") -> DataFrame:
+    """One synthetic record per driving row (columns of the stream schema plus ``key``)."""
+    k = F.col(key).cast("string")
+    label = label_draw(k)
+    attack = label != BENIGN_LABEL
+    h = hash32(k, "syn-ip|")
+    out = driver.select(k.alias("key")).withColumn(LABEL_COL, label)
+    cols = {
+        "src_ip": F.concat_ws(".", *[((h / (256**i)).cast("long") % 256).cast("string") for i in (3, 2, 1, 0)]),
+        "dest_ip": F.concat_ws(".", *[(hash32(k, f"syn-dip{i}|") % 256).cast("string") for i in range(4)]),
+        "src_port": F.when(hash32(k, "syn-sp0|") % 10 == 0, F.lit(0)).otherwise(_int_in(k, "syn-sp|", 1, 65535)).cast("double"),
+        "dest_port": _int_in(k, "syn-dp|", 1, 65535).cast("double"),
+        "protocol": _pick(k, "syn-proto|", PROTOCOLS),
+        "conn_state": _pick(k, "syn-state|", CONN_STATES),
+        "service": _pick(k, "syn-svc|", SERVICES),
+        "history": _pick(k, "syn-hist|", HISTORIES),
+        "duration": F.round(-F.log(F.lit(1.0) - unit_hash(k, "syn-dur|")) / F.when(attack, 0.1).otherwise(0.5), 6),
+        "missed_bytes": _int_in(k, "syn-miss|", 0, 1000).cast("double"),
+        "local_orig": hash32(k, "syn-lo|") % 10 < 3,
+        "local_resp": hash32(k, "syn-lr|") % 10 < 3,
+    }
+    for c, (blo, bhi, alo, ahi) in RANGES.items():
+        cols[c] = F.when(attack, _int_in(k, f"syn-{c}|", alo, ahi)).otherwise(_int_in(k, f"syn-{c}|", blo, bhi)).cast("double")
+    return out.withColumns(cols)
