@@ -61,12 +61,15 @@ def decode_json(
     text = F.col(value_col).cast("string")
     cols: list[Column | str] = [*keep, F.from_json(text, schema).alias("__rec")]
     if corrupt_col:
-        # from_json turns junk into an all-null record; the flag needs a real parse check
-        cols.append((text.isNotNull() & F.try_parse_json(text).isNull()).alias(corrupt_col))
+        cols.append(text.alias("__text"))
     out = df.select(*cols)
     flat: list[Column | str] = [*keep, "__rec.*"]
     if corrupt_col:
-        flat.append(corrupt_col)
+        # from_json turns junk into an all-null record. Only rows whose fields
+        # all came back null are re-checked with a real parse (short-circuit AND).
+        all_null = F.coalesce(*[F.col("__rec")[f.name].cast("string") for f in schema.fields]).isNull()
+        t = F.col("__text")
+        flat.append((t.isNotNull() & all_null & F.try_parse_json(t).isNull()).alias(corrupt_col))
     return out.select(*flat)
 
 

@@ -50,6 +50,14 @@ def quantile_table(
             F.percentile_approx("value", [float(p) for p in probs], accuracy).alias("q")
         )
     counts = long.groupBy("feature", "value").agg(F.count(F.lit(1)).alias("n"))
+    return exact_quantiles(counts, probs)
+
+
+def exact_quantiles(counts: DataFrame, probs: Sequence[float]) -> DataFrame:
+    """``(feature, q)`` from ``(feature, value, n)`` counts: rank ``ceil(p*N)`` per column.
+
+    The running sum is a window per column over its distinct values.
+    """
     run = Window.partitionBy("feature").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
     whole = Window.partitionBy("feature")
     ranked = counts.select(
@@ -63,6 +71,24 @@ def quantile_table(
     return ranked.groupBy("feature").agg(F.array(*picks).alias("q"))
 
 
+def value_counts(df: DataFrame, numeric_cols: Sequence[str], nominal_cols: Sequence[str]) -> DataFrame:
+    """``(feature, d, s, n)``: per-value row counts of numeric (``d``) and nominal (``s``) columns.
+
+    ONE aggregation (map-side combined) feeds both the exact quantiles and
+    the nominal dictionaries; null and NaN numerics and null nominals are left out.
+    """
+    items = [
+        F.struct(F.lit(c).alias("feature"), F.col(c).cast("double").alias("d"), F.lit(None).cast("string").alias("s"))
+        for c in numeric_cols
+    ] + [
+        F.struct(F.lit(c).alias("feature"), F.lit(None).cast("double").alias("d"), F.col(c).cast("string").alias("s"))
+        for c in nominal_cols
+    ]
+    long = df.select(F.inline(F.array(*items)))
+    keep = (F.col("d").isNotNull() & ~F.isnan("d")) | F.col("s").isNotNull()
+    return long.filter(keep).groupBy("feature", "d", "s").agg(F.count(F.lit(1)).alias("n"))
+
+
 def splits_from_quantiles(q: Column) -> Column:
     """QuantileDiscretizer rule: outer quantiles → ±inf, -0.0 → 0.0, repeated edges merged."""
     inner = F.transform(F.slice(q, 2, F.size(q) - 2), lambda e: F.when(e == 0.0, F.lit(0.0)).otherwise(e))
@@ -145,7 +171,11 @@ def trimmed_numeric_bins(
     suffix: str = "_bin",
 ) -> DataFrame:
     """Add ``<col>_bin`` with 2 % tails cut off (F8, inferred contract)."""
-    qt = quantile_table(df, cols, [trim, 1.0 - trim], relative_error)
+    return apply_trimmed(df, cols, quantile_table(df, cols, [trim, 1.0 - trim], relative_error), bins, suffix)
+
+
+def apply_trimmed(df: DataFrame, cols: Sequence[str], qt: DataFrame, bins: int = 10, suffix: str = "_bin") -> DataFrame:
+    """Apply trimmed bins given a ``(feature, [lo, hi])`` table."""
     out = df.withColumn("__q", _edges_map(qt, "q"))
     exprs = {}
     for c in cols:
@@ -163,6 +193,11 @@ def nominal_dictionary(df: DataFrame, cols: Sequence[str], share: float = NOMINA
     """
     long = long_form(df, cols, "string").filter(F.col("value").isNotNull())
     counts = long.groupBy("feature", "value").agg(F.count(F.lit(1)).alias("n"))
+    return nominal_from_counts(counts, share)
+
+
+def nominal_from_counts(counts: DataFrame, share: float = NOMINAL_SHARE) -> DataFrame:
+    """Share rule over ``(feature, value, n)`` counts (see :func:`nominal_dictionary`)."""
     order = Window.partitionBy("feature").orderBy(F.col("n").desc(), F.col("value").asc())
     run = order.rowsBetween(Window.unboundedPreceding, 0)
     ranked = counts.select(
@@ -180,10 +215,18 @@ def nominal_dictionary(df: DataFrame, cols: Sequence[str], share: float = NOMINA
 
 
 def nominal_bins(
-    df: DataFrame, cols: Sequence[str], share: float = NOMINAL_SHARE, suffix: str = "_bin"
+    df: DataFrame,
+    cols: Sequence[str],
+    share: float = NOMINAL_SHARE,
+    suffix: str = "_bin",
+    dictionary: DataFrame | None = None,
 ) -> DataFrame:
-    """Add ``<col>_bin`` nominal indexes with the tail folded into one index."""
-    dictionary = bounded_broadcast(nominal_dictionary(df, cols, share))
+    """Add ``<col>_bin`` nominal indexes with the tail folded into one index.
+
+    The dictionary (kept values only) is broadcast after its size is checked;
+    above the bound the joins shuffle instead.
+    """
+    dictionary = bounded_broadcast(dictionary if dictionary is not None else nominal_dictionary(df, cols, share))
     out = df
     for c in cols:
         d = dictionary.filter(F.col("feature") == c).select(
@@ -255,8 +298,17 @@ def full_binning(
         | {f"{c}{suffix}": port_class(F.col(c)) for c in port_cols}
         | {f"{c}{suffix}": bool_class(F.col(c)) for c in bool_cols}
     )
-    out = trimmed_numeric_bins(out, numeric_cols, numeric_trim, 10, relative_error, suffix)
-    return nominal_bins(out, nominal_cols, nominal_share, suffix)
+    probs = [numeric_trim, 1.0 - numeric_trim]
+    if relative_error == 0:
+        counts = value_counts(df, numeric_cols, nominal_cols).cache()
+        num = counts.filter(F.col("d").isNotNull()).select("feature", F.col("d").alias("value"), "n")
+        nom = counts.filter(F.col("s").isNotNull()).select("feature", F.col("s").alias("value"), "n")
+        qt, dictionary = exact_quantiles(num, probs), nominal_from_counts(nom, nominal_share)
+    else:
+        qt = quantile_table(df, numeric_cols, probs, relative_error)
+        dictionary = nominal_dictionary(df, nominal_cols, nominal_share)
+    out = apply_trimmed(out, numeric_cols, qt, 10, suffix)
+    return nominal_bins(out, nominal_cols, nominal_share, suffix, dictionary=dictionary)
 
 
 def distinct_per_feature(df: DataFrame, cols: Sequence[str]) -> DataFrame:

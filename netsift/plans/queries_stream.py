@@ -37,7 +37,7 @@ def _stage(spark, name: str, df) -> str:
 
 def _wire_stream(spark, sf):
     src = _stage(spark, "wire", tables.wire_records(spark, sf).select("key", "value"))
-    return inference.read_stream(spark, fmt="parquet", path=src, max_files_per_trigger=4)
+    return inference.read_stream(spark, fmt="parquet", path=src, max_files_per_trigger=64)
 
 
 @register("stream_decode")
@@ -59,7 +59,7 @@ def stream_route(spark, sf):
             F.to_json(F.struct("event_id", "event_type", "value")).alias("value"),
         ),
     )
-    raw = inference.read_stream(spark, fmt="parquet", path=src, max_files_per_trigger=4)
+    raw = inference.read_stream(spark, fmt="parquet", path=src, max_files_per_trigger=64)
     dec = clean.decode_json(raw.withColumn("key", F.col("key").cast("string")), EVENT_SCHEMA, keep=["key"])
     dec = dec.withColumnRenamed("value", "event_value")
     scored = dec.withColumn("prediction", F.when(F.col("event_type") == "error", 0.0).otherwise(1.0))
