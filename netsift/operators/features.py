@@ -103,10 +103,22 @@ def quantile_splits(
     return qt.select("feature", splits_from_quantiles(F.col("q")).alias("splits"))
 
 
-def bucket_of(x: Column, splits: Column) -> Column:
-    """Bucketizer rule: bucket i = [s_i, s_{i+1}), last bucket closed; NaN → extra bucket; null → null."""
+def bucket_of(x: Column, splits: Column, max_splits: int | None = None) -> Column:
+    """Bucketizer rule: bucket i = [s_i, s_{i+1}), last bucket closed; NaN → extra bucket; null → null.
+
+    With ``max_splits`` known, the bucket is a sum of comparisons against
+    ``splits[1..]`` (stays inside whole-stage codegen); otherwise a
+    higher-order ``filter`` counts the edges.
+    """
     n_buckets = F.size(splits) - 1
-    idx = F.size(F.filter(splits, lambda e: e <= x)) - 1
+    if max_splits is None:
+        idx = F.size(F.filter(splits, lambda e: e <= x)) - 1
+    else:
+        terms = [
+            F.when((F.lit(i) < n_buckets) & (x >= F.element_at(splits, i + 1)), F.lit(1)).otherwise(F.lit(0))
+            for i in range(1, max_splits - 1)
+        ]
+        idx = sum(terms[1:], terms[0]) if terms else F.lit(0)
     return (
         F.when(x.isNull(), F.lit(None))
         .when(F.isnan(x), n_buckets)
@@ -119,6 +131,13 @@ def _edges_map(table: DataFrame, value_col: str) -> Column:
     return table.select(F.map_from_entries(F.collect_list(F.struct("feature", value_col)))).scalar()
 
 
+def _edges_struct(table: DataFrame, value_col: str, cols: Sequence[str]) -> Column:
+    """One-row struct ``{col: value}`` of the fitted values (scalar subquery)."""
+    return table.select(
+        F.struct(*[F.max(F.when(F.col("feature") == c, F.col(value_col))).alias(c) for c in cols])
+    ).scalar()
+
+
 def quantile_bins(
     df: DataFrame,
     cols: Sequence[str],
@@ -128,9 +147,12 @@ def quantile_bins(
 ) -> DataFrame:
     """Add ``<col>_bin``: quantile buckets fitted on ``df``."""
     splits = quantile_splits(df, cols, num_buckets, relative_error)
-    out = df.withColumn("__splits", _edges_map(splits, "splits"))
+    out = df.withColumn("__splits", _edges_struct(splits, "splits", cols))
     out = out.withColumns(
-        {f"{c}{suffix}": bucket_of(F.col(c).cast("double"), F.element_at("__splits", F.lit(c))) for c in cols}
+        {
+            f"{c}{suffix}": bucket_of(F.col(c).cast("double"), F.col("__splits")[c], num_buckets + 1)
+            for c in cols
+        }
     )
     return out.drop("__splits")
 
@@ -176,11 +198,12 @@ def trimmed_numeric_bins(
 
 def apply_trimmed(df: DataFrame, cols: Sequence[str], qt: DataFrame, bins: int = 10, suffix: str = "_bin") -> DataFrame:
     """Apply trimmed bins given a ``(feature, [lo, hi])`` table."""
-    out = df.withColumn("__q", _edges_map(qt, "q"))
+    lo_hi = qt.select("feature", F.struct(F.col("q")[0].alias("lo"), F.col("q")[1].alias("hi")).alias("b"))
+    out = df.withColumn("__q", _edges_struct(lo_hi, "b", cols))
     exprs = {}
     for c in cols:
-        q = F.element_at("__q", F.lit(c))
-        exprs[f"{c}{suffix}"] = trimmed_bin(F.col(c).cast("double"), q[0], q[1], bins)
+        q = F.col("__q")[c]
+        exprs[f"{c}{suffix}"] = trimmed_bin(F.col(c).cast("double"), q["lo"], q["hi"], bins)
     return out.withColumns(exprs).drop("__q")
 
 
