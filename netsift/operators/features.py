@@ -106,9 +106,9 @@ def quantile_splits(
 def bucket_of(x: Column, splits: Column, max_splits: int | None = None) -> Column:
     """Bucketizer rule: bucket i = [s_i, s_{i+1}), last bucket closed; NaN → extra bucket; null → null.
 
-    With ``max_splits`` known, the bucket is a sum of comparisons against
-    ``splits[1..]`` (stays inside whole-stage codegen); otherwise a
-    higher-order ``filter`` counts the edges.
+    By default a higher-order ``filter`` counts the edges ≤ x (measured
+    fastest: the unrolled form, ``max_splits``, generates methods too large
+    to compile once many columns are binned in one projection).
     """
     n_buckets = F.size(splits) - 1
     if max_splits is None:
@@ -150,7 +150,7 @@ def quantile_bins(
     out = df.withColumn("__splits", _edges_struct(splits, "splits", cols))
     out = out.withColumns(
         {
-            f"{c}{suffix}": bucket_of(F.col(c).cast("double"), F.col("__splits")[c], num_buckets + 1)
+            f"{c}{suffix}": bucket_of(F.col(c).cast("double"), F.col("__splits")[c])
             for c in cols
         }
     )
