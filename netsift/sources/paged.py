@@ -37,11 +37,23 @@ class ParquetPages:
         return pads.dataset(self.path, format="parquet")
 
     def size(self) -> int:
-        """Number of records (= one past the largest dense sequence value)."""
-        tbl = self._ds().to_table(columns=[self.seq])
-        if tbl.num_rows == 0:
-            return 0
-        return int(pa.compute.max(tbl.column(0)).as_py()) + 1
+        """Number of records (= one past the largest dense sequence value).
+
+        Read from the Parquet row-group statistics (footer only); data pages
+        are scanned only when a file carries no statistics.
+        """
+        best = -1
+        for frag in self._ds().get_fragments():
+            md = frag.metadata
+            idx = md.schema.to_arrow_schema().get_field_index(self.seq)
+            for rg in range(md.num_row_groups):
+                st = md.row_group(rg).column(idx).statistics
+                if st is None or not st.has_min_max:
+                    col = frag.to_table(columns=[self.seq]).column(0)
+                    best = max(best, int(pa.compute.max(col).as_py() or -1))
+                    break
+                best = max(best, int(st.max))
+        return best + 1
 
     def fetch(self, offset: int, limit: int) -> pa.Table:
         if not 1 <= limit <= 10000:
