@@ -46,6 +46,27 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return path
 
 
+_SHIPPED: set[int] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``netsift`` importable in Python workers (data sources, foreachPartition).
+
+    Zips the package once per SparkContext and distributes it with
+    ``addPyFile``, so executors need no local install.
+    """
+    sc = spark.sparkContext
+    if id(sc) in _SHIPPED:
+        return
+    import shutil
+
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    out = tempfile.mkdtemp(prefix="netsift-pkg-")
+    archive = shutil.make_archive(os.path.join(out, "netsift"), "zip", os.path.dirname(pkg), "netsift")
+    sc.addPyFile(archive)
+    _SHIPPED.add(id(sc))
+
+
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "netsift") -> SparkSession:
     """Session for tests and the local bench (no UI, AQE on, UTC)."""
     builder = (

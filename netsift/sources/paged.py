@@ -173,4 +173,13 @@ class PagedStreamReader(DataSourceStreamReader):
 
 
 def register(spark) -> None:
+    """Register the source; its classes travel to Python workers by value."""
+    import sys
+
+    from pyspark import cloudpickle
+
+    from ..session import ship_package
+
+    ship_package(spark)
+    cloudpickle.register_pickle_by_value(sys.modules[__name__])
     spark.dataSource.register(PagedSource)
