@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from netsift.llm import exact_dedup, toxicity
+from netsift.llm import decontaminate, exact_dedup, packing, toxicity
 
 QUERIES = {
     "op2_exact_dedup": exact_dedup.op2_exact_dedup,
+    "op4_decontaminate": decontaminate.op4_decontaminate,
+    "op7_packing": packing.op7_packing,
     "op8_toxicity": toxicity.op8_toxicity,
 }
 ORACLES = {"op2_exact_dedup": exact_dedup.OP2_SQL}
