@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from netsift.llm import decontaminate, exact_dedup, packing, toxicity
+from netsift.llm import decontaminate, exact_dedup, ngram_join, packing, toxicity
 
 QUERIES = {
+    "op1_ngram_join": ngram_join.op1_ngram_join,
     "op2_exact_dedup": exact_dedup.op2_exact_dedup,
     "op4_decontaminate": decontaminate.op4_decontaminate,
     "op7_packing": packing.op7_packing,
