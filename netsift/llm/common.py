@@ -51,6 +51,11 @@ def small_enough(df: DataFrame, row_bytes: int, limit: int = 64 << 20) -> bool:
     return df.limit(limit // row_bytes + 1).count() * row_bytes <= limit
 
 
+def checked(df: DataFrame, row_bytes: int = 32) -> DataFrame:
+    """``df`` (staged, fixed-width rows) marked for broadcast if it is small enough, else as it is."""
+    return F.broadcast(df) if small_enough(df, row_bytes) else df
+
+
 class WordHashes(dict):
     """64-bit hash of each word (bytes), kept for the words of the current batch."""
 

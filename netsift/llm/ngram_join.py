@@ -16,8 +16,8 @@ A document is the set of its word shingles. Two link when
    pair shares a signature. The number of groups follows the size class
    (power of two); a set that can link to the class below signs there too.
    Sets under ``SINGLE`` shingles use single shingles only.
-4. Each signature links its holders to its smallest one (counted by partial
-   aggregation); these pairs are verified on the whole sets. Then the
+4. Each signature links its holders to its smallest one; these pairs, if the
+   sizes allow a link, are verified on the whole sets. Then the
    holders of a signature that are still in different components are paired
    and verified too. No link between components is lost, and a group of
    thousands of near copies costs its size, not its square.
@@ -39,7 +39,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from netsift.llm.common import WordHashes, mixed, read, shingle_hashes, staged, whole_text
+from netsift.llm.common import WordHashes, checked, mixed, read, shingle_hashes, staged, whole_text
 
 COUNTER_BITS, BLOCK = 20, 1024
 SINGLE = 16
@@ -98,19 +98,21 @@ def least_shared(n: int, percent: int) -> int:
     return -(-percent * n // 100)
 
 
-def signatures(s: np.ndarray, often: np.ndarray, percent: int, cuts: list[float]) -> np.ndarray:
-    """Signatures of one set: ``s`` its shingles, ``often`` their estimated frequencies."""
+def signatures(s: np.ndarray, often: np.ndarray, percent: int, cuts: list[float]) -> tuple[np.ndarray, np.ndarray]:
+    """Signatures of one set from rare shingles and from frequent ones: ``s`` its shingles, ``often`` their estimates."""
     n = len(s)
     if n == 0:
-        return s
+        return s, s
     order = np.lexsort((s, often))
     s, kind = s[order], 1 + (often[order][:, None] >= np.array(cuts)).sum(1)
-    lose, size_class, out = n - least_shared(n, percent), n.bit_length() - 1, []
+    lose, size_class, rare, common = n - least_shared(n, percent), n.bit_length() - 1, [s[:0]], [s[:0]]
     low = [size_class - 1] if least_shared(n, percent) < 1 << size_class else []
     for c in [size_class, *low]:
         tag = np.uint64((c + 1) * 0xD6E8FEB86659FD93 & 0xFFFFFFFFFFFFFFFF)
         if 1 << c < SINGLE:
-            out.append(mixed(s[: lose + 1] ^ tag))
+            head, head_kind = mixed(s[: lose + 1] ^ tag), kind[: lose + 1]
+            rare.append(head[head_kind == 1])
+            common.append(head[head_kind > 1])
             continue
         groups = (1 << c) // SINGLE
         group = np.where(kind > 1, (s >> np.uint64(8)) % np.uint64(groups) + np.uint64(groups) * kind.astype(np.uint64), 0)
@@ -124,15 +126,15 @@ def signatures(s: np.ndarray, often: np.ndarray, percent: int, cuts: list[float]
             useful[by] = place >= kind[by] - 1
         end = int(np.searchsorted(np.cumsum(useful), lose + 1)) + 1
         head, head_kind, head_group = s[:end], kind[:end], group[:end]
-        out.append(mixed(head[head_kind == 1] ^ tag))
+        rare.append(mixed(head[head_kind == 1] ^ tag))
         many = []
         for g in np.unique(head_group[head_kind > 1]):
             mine = head_group == g
             members, c_of = np.sort(head[mine & (head_kind > 1)]), int(head_kind[mine & (head_kind > 1)][0])
             many += [hash_of(x, c_of) for x in combinations(members.tolist(), c_of)]
         if many:
-            out.append(mixed(np.array(many, np.uint64) ^ tag))
-    return np.unique(np.concatenate(out))
+            common.append(mixed(np.array(many, np.uint64) ^ tag))
+    return np.unique(np.concatenate(rare)), np.unique(np.concatenate(common))
 
 
 def hash_of(members: tuple[int, ...], c: int) -> int:
@@ -143,7 +145,7 @@ def hash_of(members: tuple[int, ...], c: int) -> int:
 
 
 def signed(docs: DataFrame, words: int, percent: int) -> DataFrame:
-    """doc_id, n_shingles, digest (of the set), signatures, of every row."""
+    """doc_id, n_shingles, digest (of the set), rare and common signatures, of every row."""
     table = frequencies(docs, words)
     cuts, shared = classes(table), docs.sparkSession.sparkContext.broadcast(table)  # fixed size
     kind = docs.schema["doc_id"].dataType.simpleString()
@@ -160,37 +162,56 @@ def signed(docs: DataFrame, words: int, percent: int) -> DataFrame:
                     "doc_id": d["doc_id"],
                     "n_shingles": [len(s) for s in sets],
                     "digest": [xxhash.xxh3_128_digest(s.tobytes()) for s in sets],
-                    "signatures": [s.view(np.int64) for s in signs],
+                    "rare": [r.view(np.int64) for r, _ in signs],
+                    "common": [c.view(np.int64) for _, c in signs],
                 }
             )
 
-    schema = f"doc_id {kind}, n_shingles bigint, digest binary, signatures array<bigint>"
+    schema = f"doc_id {kind}, n_shingles bigint, digest binary, rare array<bigint>, common array<bigint>"
     return docs.select("doc_id", whole_text().alias("text")).mapInPandas(rows, schema)
 
 
-def sets_of(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
-    """The whole sets of the documents in ``wanted`` (doc_id): doc_id, shingles."""
+def texts_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """The compressed words of the documents in ``wanted`` (doc_id): doc_id, packed."""
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def rows(batches):
-        seen = WordHashes()
+        import zstandard
+
+        z = zstandard.ZstdCompressor(level=3)
         for d in batches:
-            yield pd.DataFrame({"doc_id": d["doc_id"], "shingles": [shingles(t, words, seen).view(np.int64) for t in d["text"]]})
+            words = (b" ".join(t.encode("utf-8", "replace").lower().split()) for t in d["text"])
+            yield pd.DataFrame({"doc_id": d["doc_id"], "packed": [z.compress(w) for w in words]})
 
-    texts = docs.select("doc_id", whole_text().alias("text")).join(wanted, "doc_id", "left_semi")
-    return texts.mapInPandas(rows, f"doc_id {kind}, shingles array<bigint>")
+    texts = docs.select("doc_id", whole_text().alias("text")).join(checked(wanted), "doc_id", "left_semi")
+    return texts.mapInPandas(rows, f"doc_id {kind}, packed binary")
 
 
-def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def verified(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
     """The pairs (a, b) whose whole sets link."""
-    a, b = (sets.select(F.col("doc_id").alias(c), F.col("shingles").alias(f"s{c}")) for c in "ab")
-    both = F.size(F.array_intersect("sa", "sb"))
-    return (
-        pairs.join(a, "a").join(b, "b")
-        .select("a", "b", both.alias("n"), (F.size("sa") + F.size("sb")).alias("m"))
-        .where(100 * F.col("n") >= percent * (F.col("m") - F.col("n")))
-        .select("a", "b").distinct()
-    )
+
+    def rows(batches):
+        import zstandard
+
+        z, seen = zstandard.ZstdDecompressor(), WordHashes()
+
+        def unpacked(packed: bytes) -> np.ndarray:
+            return np.unique(shingle_hashes(seen.of(z.decompress(packed).split()), words))
+
+        for d in batches:
+            keep, last, x = [], None, None
+            for a, pa, pb in zip(d["a"], d["ta"], d["tb"]):
+                if x is None or a != last:
+                    last, x = a, unpacked(pa)
+                y = unpacked(pb)
+                n = len(np.intersect1d(x, y, assume_unique=True))
+                keep.append(100 * n >= percent * (len(x) + len(y) - n))
+            yield d.loc[keep, ["a", "b"]]
+
+    a, b = (texts.select(F.col("doc_id").alias(c), F.col("packed").alias(f"t{c}")) for c in "ab")
+    kind = texts.schema["doc_id"].dataType.simpleString()
+    both = pairs.join(b, "b").join(a, "a").select("a", "b", "ta", "tb")
+    return both.mapInPandas(rows, f"a {kind}, b {kind}").distinct()
 
 
 def connected(edges: DataFrame) -> DataFrame:
@@ -211,35 +232,62 @@ def connected(edges: DataFrame) -> DataFrame:
         state = now
 
 
+def holders(nodes: DataFrame) -> DataFrame:
+    """Signatures that two nodes or more hold: sign, node, first (the smallest holder).
+
+    Frequent signatures are reduced before they are shuffled and joined by
+    exchanges that Spark may split. Rare ones are bounded by their class, so
+    one exchange serves both the reduction and the join.
+    """
+    out = []
+    for kind in ("rare", "common"):
+        held = nodes.select(F.explode(kind).alias("sign"), "node")
+        held = held.repartition("sign") if kind == "rare" else held
+        first = held.groupBy("sign").agg(F.min("node").alias("first"), F.max("node").alias("last"))
+        first = first.where("first <> last").select("sign", "first")
+        out.append(held.join(first if kind == "rare" else staged(first, "first"), "sign").select("sign", "node", "first"))
+    return out[0].unionByName(out[1])
+
+
 def components(docs: DataFrame, words: int = 4, percent: int = 85) -> DataFrame:
     """Per row: doc_id, n_shingles, component_id."""
     rows = staged(signed(docs, words, percent), "signed")
     groups = rows.where("doc_id is not null and n_shingles > 0").groupBy("digest").agg(F.min("doc_id").alias("node"))
     members = staged(rows.select("doc_id", "n_shingles", "digest").join(staged(groups, "nodes"), "digest", "left"), "members")
-    nodes = members.where("doc_id = node").select("doc_id", "digest").distinct()
-    held = rows.join(nodes, ["doc_id", "digest"], "left_semi").select(
-        F.explode("signatures").alias("sign"), F.col("doc_id").alias("node"), "n_shingles"
-    )
-    first = held.groupBy("sign").agg(F.min("node").alias("first"), F.max("node").alias("last")).where("first <> last")
-    live = staged(held.join(staged(first.drop("last"), "first"), "sign"), "live")
-    sets = staged(sets_of(docs, live.select(F.col("node").alias("doc_id")).distinct(), words), "sets")
-
-    stars = live.where("node <> first").select(F.col("first").alias("a"), F.col("node").alias("b")).distinct()
-    links = staged(verified(staged(stars, "stars"), sets, percent), "links")
-    joined = connected(links)
-    named = live.join(joined.withColumnRenamed("doc_id", "node"), "node", "left").select(
-        "sign", "node", "n_shingles", F.coalesce("component_id", "node").alias("component")
-    )
-    named = staged(named, "named")
-    mixed_up = named.groupBy("sign").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y")
-    rest = staged(named.join(staged(mixed_up.select("sign"), "open"), "sign", "left_semi").distinct(), "rest")
-    x, y = (rest.select("sign", *(F.col(c).alias(f"{c}_{s}") for c in ("node", "n_shingles", "component"))) for s in "xy")
-    fits = 100 * F.least("n_shingles_x", "n_shingles_y") >= percent * F.greatest("n_shingles_x", "n_shingles_y")
-    pairs = x.join(y, "sign").where((F.col("node_x") < F.col("node_y")) & (F.col("component_x") != F.col("component_y")) & fits)
-    pairs = staged(pairs.select(F.col("node_x").alias("a"), F.col("node_y").alias("b")).distinct(), "pairs")
-    more = staged(verified(pairs, sets, percent), "links")
-    if not more.isEmpty():
-        joined = connected(links.unionByName(more))
+    copies = members.where("doc_id is null or node is null or doc_id <> node").select("doc_id", "digest").distinct()
+    nodes = rows.where("doc_id is not null and n_shingles > 0").join(checked(staged(copies, "copies"), 64), ["doc_id", "digest"], "left_anti")
+    live = staged(holders(nodes.withColumnRenamed("doc_id", "node")), "live")
+    sizes = members.where("doc_id = node").groupBy("node").agg(F.min("n_shingles").alias("least"), F.max("n_shingles").alias("most"))
+
+    def fitting(pairs: DataFrame) -> DataFrame:
+        """Distinct pairs (a, b) whose sizes allow a link."""
+        a, b = (sizes.select(F.col("node").alias(c), F.col("least").alias(f"l{c}"), F.col("most").alias(f"m{c}")) for c in "ab")
+        fits = (100 * F.col("ma") >= percent * F.col("lb")) & (100 * F.col("mb") >= percent * F.col("la"))
+        return staged(pairs.distinct().join(a, "a").join(b, "b").where(fits).select("a", "b"), "pairs")
+
+    stars = fitting(live.where("node <> first").select(F.col("first").alias("a"), F.col("node").alias("b")))
+    ends = stars.select(F.col("a").alias("doc_id")).unionByName(stars.select(F.col("b").alias("doc_id")))
+    links = staged(verified(stars, staged(texts_of(docs, staged(ends.distinct(), "ends")), "texts"), words, percent), "links")
+    joined = staged(connected(links), "joined")
+
+    def component(frame: DataFrame, node: str, name: str) -> DataFrame:
+        found = joined.select(F.col("doc_id").alias(node), F.col("component_id").alias(name))
+        return frame.join(found, node, "left").withColumn(name, F.coalesce(name, node))
+
+    # signatures with a holder that its star left in another component: pair their holders
+    pairs = live.where("node <> first").select("node", "first").distinct()
+    apart = component(component(pairs, "node", "x"), "first", "y").where("x <> y").select("node", "first")
+    opened = live.join(checked(staged(apart, "apart")), ["node", "first"], "left_semi").select("sign").distinct()
+    rest = live.join(checked(staged(opened, "open")), "sign", "left_semi").select("sign", "node").distinct()
+    rest = staged(component(rest, "node", "component"), "rest")
+    x, y = (rest.select("sign", *(F.col(c).alias(f"{c}_{s}") for c in ("node", "component"))) for s in "xy")
+    pairs = x.join(y, "sign").where("node_x < node_y and component_x <> component_y")
+    pairs = fitting(pairs.select(F.col("node_x").alias("a"), F.col("node_y").alias("b")))
+    if not pairs.isEmpty():
+        ends = pairs.select(F.col("a").alias("doc_id")).unionByName(pairs.select(F.col("b").alias("doc_id")))
+        texts = staged(texts_of(docs, staged(ends.distinct(), "ends")), "texts")
+        more = staged(verified(pairs, texts, words, percent), "links")
+        joined = staged(connected(links.unionByName(more)), "joined")
     found = joined.select(F.col("doc_id").alias("node"), "component_id")
     return members.join(found, "node", "left").select(
         "doc_id", "n_shingles", F.coalesce("component_id", "node", "doc_id").alias("component_id")
