@@ -2,13 +2,23 @@
 
 from __future__ import annotations
 
-from netsift.llm import decontaminate, exact_dedup, ngram_join, packing, toxicity
+from netsift.llm import (
+    decontaminate,
+    exact_dedup,
+    line_dedup,
+    ngram_join,
+    packing,
+    quality,
+    toxicity,
+)
 
 QUERIES = {
     "op1_ngram_join": ngram_join.op1_ngram_join,
     "op2_exact_dedup": exact_dedup.op2_exact_dedup,
     "op4_decontaminate": decontaminate.op4_decontaminate,
+    "op6_line_dedup": line_dedup.op6_line_dedup,
     "op7_packing": packing.op7_packing,
     "op8_toxicity": toxicity.op8_toxicity,
+    "op10_quality": quality.op10_quality,
 }
 ORACLES = {"op2_exact_dedup": exact_dedup.OP2_SQL}
