@@ -56,6 +56,27 @@ def checked(df: DataFrame, row_bytes: int = 32) -> DataFrame:
     return F.broadcast(df) if small_enough(df, row_bytes) else df
 
 
+def groups_of(batches, keys: list[str]):
+    """Whole groups of neighbouring rows with equal ``keys`` (nulls are equal) from sorted batches."""
+    import pandas as pd
+
+    rest = None
+    for batch in batches:
+        rows = batch if rest is None else pd.concat([rest, batch], ignore_index=True)
+        if len(rows) == 0:
+            continue
+        new = np.zeros(len(rows), bool)
+        for k in keys:
+            before = rows[k].shift(1)
+            new |= (rows[k].ne(before) & ~(rows[k].isna() & before.isna())).to_numpy(bool)
+        starts = [0, *(np.flatnonzero(new[1:]) + 1)]
+        for a, b in zip(starts, starts[1:]):
+            yield rows.iloc[a:b].reset_index(drop=True)
+        rest = rows.iloc[starts[-1] :].reset_index(drop=True)
+    if rest is not None and len(rest):
+        yield rest
+
+
 class WordHashes(dict):
     """64-bit hash of each word (bytes), kept for the words of the current batch."""
 
