@@ -92,6 +92,43 @@ class WordHashes(dict):
         return np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
 
 
+def distinct(x: np.ndarray) -> np.ndarray:
+    """Sorted distinct values (a sort; numpy's unique hashes, which is slower here)."""
+    x = np.sort(x)
+    return x[np.r_[True, x[1:] != x[:-1]]] if len(x) else x
+
+
+class ByteWords:
+    """64-bit hashes of the words ``[^\\x20\\x09-\\x0D]+`` of a byte string, from prefix sums of a polynomial."""
+
+    BASE = 0x9E3779B97F4A7C15
+
+    def __init__(self):
+        self.blank = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
+        self.size = 0
+        self.grow(1 << 14)
+
+    def grow(self, n: int) -> None:
+        if n > self.size:
+            self.size = max(n, 2 * self.size)
+            powers = lambda base: np.cumprod(np.r_[np.uint64(1), np.full(self.size, base, np.uint64)])
+            self.power, self.inverse = powers(self.BASE), powers(pow(self.BASE, -1, 1 << 64))
+
+    def of(self, data: bytes) -> np.ndarray:
+        b = np.frombuffer(data, np.uint8)
+        n = len(b)
+        if n == 0:
+            return np.zeros(0, np.uint64)
+        self.grow(n)
+        blank = self.blank[b]
+        edge = np.flatnonzero(blank[1:] != blank[:-1]) + 1
+        edge = np.r_[[0] * (not blank[0]), edge, [n] * (not blank[-1])].astype(np.int64)
+        start, end = edge[0::2], edge[1::2]
+        sums = np.zeros(n + 1, np.uint64)
+        np.cumsum((b.astype(np.uint64) + np.uint64(1)) * self.power[:n], out=sums[1:])
+        return mixed((sums[end] - sums[start]) * self.inverse[start] + (end - start).astype(np.uint64))
+
+
 def mixed(x: np.ndarray) -> np.ndarray:
     """Finalizer: every input bit reaches every output bit."""
     x = x ^ (x >> np.uint64(31))

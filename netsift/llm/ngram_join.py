@@ -18,9 +18,9 @@ A document is the set of its word shingles. Two link when
    Sets under ``SINGLE`` shingles use single shingles only.
 4. Each signature links its holders to its smallest one; these pairs, if the
    sizes allow a link, are verified on the whole sets. Then the
-   holders of a signature that are still in different components are paired
-   and verified too. No link between components is lost, and a group of
-   thousands of near copies costs its size, not its square.
+   holders of a signature that are still in different components meet
+   too: as pairs where a signature has few, in blocks of bounded size where
+   it has many. No link between components is lost.
 5. Components by alternating large and small stars, in staged tables.
 
 Shingles are 64-bit hashes. Edge cases: null, empty and all-blank texts have
@@ -39,15 +39,17 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from netsift.llm.common import WordHashes, checked, mixed, read, shingle_hashes, staged, whole_text
+from netsift.llm.common import ByteWords, checked, distinct, groups_of, mixed, read, shingle_hashes, staged, whole_text
 
 COUNTER_BITS, BLOCK = 20, 1024
 SINGLE = 16
+#: Signatures with more holders than ``CROWD_FROM`` are verified in blocks of ``CROWD``.
+CROWD_FROM, CROWD = 16, 256
 
 
-def shingles(text: str, k: int, seen: WordHashes) -> np.ndarray:
-    """Sorted distinct shingles; bytes.split() and lower() know ASCII only, as the words are defined."""
-    return np.unique(shingle_hashes(seen.of(text.encode("utf-8", "replace").lower().split()), k))
+def shingles(text: str, k: int, words: ByteWords) -> np.ndarray:
+    """Sorted distinct shingles; bytes.lower() knows ASCII only, as the words are defined."""
+    return distinct(shingle_hashes(words.of(text.encode("utf-8", "replace").lower()), k))
 
 
 def frequencies(docs: DataFrame, words: int) -> np.ndarray:
@@ -56,10 +58,21 @@ def frequencies(docs: DataFrame, words: int) -> np.ndarray:
     def count(batches):
         import zlib
 
-        table, seen = np.zeros(1 << COUNTER_BITS, np.uint32), WordHashes()
+        table, split = np.zeros(1 << COUNTER_BITS, np.int64), ByteWords()
+        held, size = [], 0
+
+        def add_held():
+            at = np.concatenate([np.zeros(0, np.uint64), *held]) >> np.uint64(64 - COUNTER_BITS)
+            table[:] += np.bincount(at.astype(np.int64), minlength=1 << COUNTER_BITS)
+
         for d in batches:
             for t in d["text"]:
-                np.add.at(table, shingles(t, words, seen) >> np.uint64(64 - COUNTER_BITS), 1)
+                held.append(shingles(t, words, split))
+                size += len(held[-1])
+                if size > 1 << 21:
+                    add_held()
+                    held, size = [], 0
+        add_held()
         parts = table.reshape(-1, BLOCK)
         at = np.flatnonzero(parts.any(1))
         yield pd.DataFrame({"block": at, "counts": [zlib.compress(parts[i].astype("<u4").tobytes(), 1) for i in at]})
@@ -103,13 +116,13 @@ def signatures(s: np.ndarray, often: np.ndarray, percent: int, cuts: list[float]
     n = len(s)
     if n == 0:
         return s, s
-    order = np.lexsort((s, often))
-    s, kind = s[order], 1 + (often[order][:, None] >= np.array(cuts)).sum(1)
+    order = np.argsort(often, kind="stable")  # s is sorted, so ties go by shingle
+    s, kind = s[order], 1 + np.searchsorted(np.array(cuts), often[order], side="right")
     lose, size_class, rare, common = n - least_shared(n, percent), n.bit_length() - 1, [s[:0]], [s[:0]]
     low = [size_class - 1] if least_shared(n, percent) < 1 << size_class else []
     for c in [size_class, *low]:
         tag = np.uint64((c + 1) * 0xD6E8FEB86659FD93 & 0xFFFFFFFFFFFFFFFF)
-        if 1 << c < SINGLE:
+        if 1 << c < SINGLE or kind[min(lose, n - 1)] == 1:
             head, head_kind = mixed(s[: lose + 1] ^ tag), kind[: lose + 1]
             rare.append(head[head_kind == 1])
             common.append(head[head_kind > 1])
@@ -134,7 +147,7 @@ def signatures(s: np.ndarray, often: np.ndarray, percent: int, cuts: list[float]
             many += [hash_of(x, c_of) for x in combinations(members.tolist(), c_of)]
         if many:
             common.append(mixed(np.array(many, np.uint64) ^ tag))
-    return np.unique(np.concatenate(rare)), np.unique(np.concatenate(common))
+    return distinct(np.concatenate(rare)), distinct(np.concatenate(common))
 
 
 def hash_of(members: tuple[int, ...], c: int) -> int:
@@ -153,9 +166,9 @@ def signed(docs: DataFrame, words: int, percent: int) -> DataFrame:
     def rows(batches):
         import xxhash
 
-        often, seen = shared.value, WordHashes()
+        often, split = shared.value, ByteWords()
         for d in batches:
-            sets = [shingles(t, words, seen) for t in d["text"]]
+            sets = [shingles(t, words, split) for t in d["text"]]
             signs = [signatures(s, often[s >> np.uint64(64 - COUNTER_BITS)], percent, cuts) for s in sets]
             yield pd.DataFrame(
                 {
@@ -187,24 +200,24 @@ def texts_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     return texts.mapInPandas(rows, f"doc_id {kind}, packed binary")
 
 
-def verified(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
-    """The pairs (a, b) whose whole sets link."""
+def unpacked(packed: bytes, k: int, words: ByteWords) -> np.ndarray:
+    import zstandard
 
-    def rows(batches):
-        import zstandard
+    return distinct(shingle_hashes(words.of(zstandard.ZstdDecompressor().decompress(packed)), k))
 
-        z, seen = zstandard.ZstdDecompressor(), WordHashes()
 
-        def unpacked(packed: bytes) -> np.ndarray:
-            return np.unique(shingle_hashes(seen.of(z.decompress(packed).split()), words))
+def verified(pairs: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFrame:
+    """The pairs (a, b) whose whole sets link."""
 
+    def rows(batches):
+        words = ByteWords()
         for d in batches:
             keep, last, x = [], None, None
             for a, pa, pb in zip(d["a"], d["ta"], d["tb"]):
                 if x is None or a != last:
-                    last, x = a, unpacked(pa)
-                y = unpacked(pb)
-                n = len(np.intersect1d(x, y, assume_unique=True))
+                    last, x = a, unpacked(pa, k, words)
+                y = unpacked(pb, k, words)
+                n = len(x) + len(y) - len(distinct(np.concatenate([x, y])))
                 keep.append(100 * n >= percent * (len(x) + len(y) - n))
             yield d.loc[keep, ["a", "b"]]
 
@@ -214,6 +227,68 @@ def verified(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> Da
     return both.mapInPandas(rows, f"a {kind}, b {kind}").distinct()
 
 
+def shared_counts(sets: list[np.ndarray], chunk: int = 4096) -> np.ndarray:
+    """Sizes of all intersections of some sets: products of incidence matrices, ``chunk`` shingles at a time."""
+    n = len(sets)
+    out = np.zeros((n, n), np.float32)
+    owner = np.repeat(np.arange(n), [len(x) for x in sets])
+    values = np.concatenate(sets)
+    order = np.argsort(values, kind="stable")
+    values, owner = values[order], owner[order]
+    column = np.cumsum(np.r_[False, values[1:] != values[:-1]])
+    often = np.bincount(column)[column] > 1  # a shingle of one set is in no intersection
+    column, owner = column[often], owner[often]
+    column = np.cumsum(np.r_[False, column[1:] != column[:-1]]) if len(column) else column
+    for first in range(0, int(column[-1]) + 1 if len(column) else 0, chunk):
+        a, b = np.searchsorted(column, [first, first + chunk])
+        m = np.zeros((n, chunk), np.float32)
+        m[owner[a:b], column[a:b] - first] = 1
+        out += m @ m.T
+    return out
+
+
+def linked_blocks(crowds: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFrame:
+    """Links (a, b) between components among the members of crowds (first, node, component).
+
+    Members are dealt into blocks of about ``CROWD`` and every two blocks meet
+    in one group, so a group stays small and each member is sent once per
+    block, not once per pair. A spanning forest of each group's links is
+    returned, which connects the same nodes.
+    """
+    kind = texts.schema["doc_id"].dataType.simpleString()
+    blocks = staged(crowds.groupBy("first").agg(F.ceil(F.count("*") / CROWD).cast("int").alias("blocks")), "blocks")
+    dealt = crowds.join(blocks, "first").withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    dealt = dealt.select("first", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "node", "component")
+    full = dealt.join(texts.withColumnRenamed("doc_id", "node"), "node")
+
+    def rows(batches):
+        words = ByteWords()
+        for g in groups_of(batches, ["first", "i", "j"]):
+            sets = [unpacked(p, k, words) for p in g["packed"]]
+            n = np.array([len(x) for x in sets])
+            both = shared_counts(sets)
+            component, node = g["component"].to_numpy(), g["node"].to_numpy()
+            links = 100 * both >= percent * (n[:, None] + n[None] - both)
+            links &= component[:, None] != component[None]
+            root, out = {c: c for c in component}, []
+            for x, y in np.argwhere(np.triu(links)):
+                a, b = component[x], component[y]
+                while root[a] != a:
+                    a = root[a]
+                while root[b] != b:
+                    b = root[b]
+                if a != b:
+                    root[max(a, b)] = min(a, b)
+                    out.append((node[x], node[y]))
+            yield pd.DataFrame(out, columns=["a", "b"]).astype(g["node"].dtype)
+
+    keys = ["first", "i", "j"]
+    return full.select(*keys, "node", "component", "packed").repartition(*keys).sortWithinPartitions(*keys).mapInPandas(
+        rows, f"a {kind}, b {kind}"
+    )
+
+
 def connected(edges: DataFrame) -> DataFrame:
     """Nodes of the edges (a, b): doc_id, component_id (the smallest node reachable)."""
     e = staged(edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "edges")
@@ -274,20 +349,25 @@ def components(docs: DataFrame, words: int = 4, percent: int = 85) -> DataFrame:
         found = joined.select(F.col("doc_id").alias(node), F.col("component_id").alias(name))
         return frame.join(found, node, "left").withColumn(name, F.coalesce(name, node))
 
-    # signatures with a holder that its star left in another component: pair their holders
+    # signatures with a holder that its star left in another component: all their holders meet
     pairs = live.where("node <> first").select("node", "first").distinct()
     apart = component(component(pairs, "node", "x"), "first", "y").where("x <> y").select("node", "first")
-    opened = live.join(checked(staged(apart, "apart")), ["node", "first"], "left_semi").select("sign").distinct()
-    rest = live.join(checked(staged(opened, "open")), "sign", "left_semi").select("sign", "node").distinct()
+    opened = live.join(checked(staged(apart, "apart")), ["node", "first"], "left_semi").groupBy("sign").agg(F.lit(1).alias("one"))
+    rest = live.join(checked(staged(opened.drop("one"), "open")), "sign", "left_semi")
     rest = staged(component(rest, "node", "component"), "rest")
-    x, y = (rest.select("sign", *(F.col(c).alias(f"{c}_{s}") for c in ("node", "component"))) for s in "xy")
+    sizes_of = rest.groupBy("sign").agg(F.count("*").alias("n"))
+    large = staged(sizes_of.where(F.col("n") > CROWD_FROM).select("sign"), "large")
+    few = staged(rest.join(checked(large), "sign", "left_anti"), "few")
+    x, y = (few.select("sign", *(F.col(c).alias(f"{c}_{s}") for c in ("node", "component"))) for s in "xy")
     pairs = x.join(y, "sign").where("node_x < node_y and component_x <> component_y")
     pairs = fitting(pairs.select(F.col("node_x").alias("a"), F.col("node_y").alias("b")))
-    if not pairs.isEmpty():
-        ends = pairs.select(F.col("a").alias("doc_id")).unionByName(pairs.select(F.col("b").alias("doc_id")))
-        texts = staged(texts_of(docs, staged(ends.distinct(), "ends")), "texts")
-        more = staged(verified(pairs, texts, words, percent), "links")
-        joined = staged(connected(links.unionByName(more)), "joined")
+    crowds = staged(rest.join(checked(large), "sign", "left_semi").groupBy("first", "node").agg(F.min("component").alias("component")), "crowds")
+    ends = pairs.select(F.col("a").alias("doc_id")).unionByName(pairs.select(F.col("b").alias("doc_id")))
+    ends = staged(ends.unionByName(crowds.select(F.col("node").alias("doc_id"))).distinct(), "ends")
+    if not ends.isEmpty():
+        texts = staged(texts_of(docs, ends), "texts")
+        more = verified(pairs, texts, words, percent).unionByName(linked_blocks(crowds, texts, words, percent))
+        joined = staged(connected(links.unionByName(staged(more, "links"))), "joined")
     found = joined.select(F.col("doc_id").alias("node"), "component_id")
     return members.join(found, "node", "left").select(
         "doc_id", "n_shingles", F.coalesce("component_id", "node", "doc_id").alias("component_id")
