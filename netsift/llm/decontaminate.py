@@ -148,7 +148,9 @@ def candidates(docs: DataFrame, bit_map: np.ndarray, bits: int) -> DataFrame:
                     ids.append(i)
                     words.append(w.view(np.int64))
                     seeds.append(np.unique(s).view(np.int64))
-            yield pd.DataFrame({"doc_id": pd.Series(ids, dtype=d["doc_id"].dtype), "words": words, "seeds": seeds})
+            # a batch without a hit has empty columns, which need their type said
+            lists = {"words": pd.Series(words, dtype=object), "seeds": pd.Series(seeds, dtype=object)}
+            yield pd.DataFrame({"doc_id": pd.Series(ids, dtype=d["doc_id"].dtype), **lists})
 
     source = docs.select("doc_id", whole_text().alias("text")).where("doc_id is not null")
     return source.mapInPandas(rows, f"doc_id {kind}, words array<bigint>, seeds array<bigint>")

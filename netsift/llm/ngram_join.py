@@ -75,7 +75,7 @@ def frequencies(docs: DataFrame, words: int) -> np.ndarray:
         add_held()
         parts = table.reshape(-1, BLOCK)
         at = np.flatnonzero(parts.any(1))
-        yield pd.DataFrame({"block": at, "counts": [zlib.compress(parts[i].astype("<u4").tobytes(), 1) for i in at]})
+        yield pd.DataFrame({"block": at, "counts": pd.Series([zlib.compress(parts[i].astype("<u4").tobytes(), 1) for i in at], dtype=object)})
 
     def add(batches):
         import zlib
