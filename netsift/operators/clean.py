@@ -56,7 +56,9 @@ def decode_json(
 
     Undecodable text gives an all-null record; a wrongly typed field gives a
     null field. With ``corrupt_col`` set, a boolean column marks the rows
-    whose text could not be parsed at all.
+    that are no usable record: a null value, text that isn't a JSON object
+    (an array counts as one bad message), or an object without any field of
+    the schema.
     """
     text = F.col(value_col).cast("string")
     cols: list[Column | str] = [*keep, F.from_json(text, schema).alias("__rec")]
@@ -66,10 +68,11 @@ def decode_json(
     flat: list[Column | str] = [*keep, "__rec.*"]
     if corrupt_col:
         # from_json turns junk into an all-null record. Only rows whose fields
-        # all came back null are re-checked with a real parse (short-circuit AND).
+        # all came back null have their keys looked at (short-circuit AND).
         all_null = F.coalesce(*[F.col("__rec")[f.name].cast("string") for f in schema.fields]).isNull()
-        t = F.col("__text")
-        flat.append((t.isNotNull() & all_null & F.try_parse_json(t).isNull()).alias(corrupt_col))
+        names = F.array(*[F.lit(f.name) for f in schema.fields])
+        known = F.arrays_overlap(F.json_object_keys(F.col("__text")), names)
+        flat.append((all_null & ~F.coalesce(known, F.lit(False))).alias(corrupt_col))
     return out.select(*flat)
 
 

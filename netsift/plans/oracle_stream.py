@@ -1,4 +1,4 @@
-"""DuckDB SQL for the streaming, paged-source and synthetic queries (batch twins)."""
+"""DuckDB SQL for the streaming queries (batch twins)."""
 
 from __future__ import annotations
 
@@ -36,26 +36,6 @@ SQL["stream_deadletter"] = with_conn(
     f"CASE WHEN {_JUNK} THEN 0.0 WHEN resp_bytes * 16 < orig_bytes THEN 1.0 ELSE 0.0 END AS prediction FROM conn)"
 )
 
-SQL["paged_source"] = "SELECT event_id, user_id, event_type, value FROM events"
-SQL["paged_stream"] = SQL["paged_source"]
-
-
-def _h(salt: str) -> str:
-    return f"(('0x' || substr(md5(concat('{salt}', key)), 1, 8))::UBIGINT)"
-
-
-SQL["synthetic_label_mix"] = with_conn(
-    "SELECT label_multi, count(*) AS n, min(orig_bytes) AS min_orig_bytes, max(orig_bytes) AS max_orig_bytes, "
-    "count(CASE WHEN src_port = 0 THEN 1 END) AS n_zero_src_port, count(CASE WHEN local_orig THEN 1 END) AS n_local_orig, "
-    "count(DISTINCT protocol) AS n_protocols FROM ("
-    "SELECT CASE WHEN b < 60 THEN 'none' ELSE 'T' || CAST(1000 + CAST(least(floor((b - 60) / 4), 9) AS INTEGER) AS VARCHAR) END AS label_multi, "
-    f"CAST(CASE WHEN b < 60 THEN 0 + {_h('syn-orig_bytes|')} % 10001 ELSE 1000 + {_h('syn-orig_bytes|')} % 499001 END AS DOUBLE) AS orig_bytes, "
-    f"CAST(CASE WHEN {_h('syn-sp0|')} % 10 = 0 THEN 0 ELSE 1 + {_h('syn-sp|')} % 65535 END AS DOUBLE) AS src_port, "
-    f"{_h('syn-lo|')} % 10 < 3 AS local_orig, "
-    f"['tcp', 'udp', 'icmp'][CAST({_h('syn-proto|')} % 3 + 1 AS INTEGER)] AS protocol "
-    f"FROM (SELECT key, {_h('syn-label|')} % 100 AS b FROM conn)) GROUP BY label_multi"
-)
-
 SQL["wire_hash_split_counts"] = with_conn(
     f"SELECT CASE WHEN {hash_bucket_sql('key', 1000, 'split|')} < 700 THEN 'train' ELSE 'test' END AS split, label_multi, "
     "count(*) AS n, CAST(sum(CASE WHEN label_multi = 'none' THEN 1.0 ELSE 0.0 END) AS DOUBLE) AS n_benign "

@@ -21,8 +21,8 @@ def rf_multiclass(spark, sf):
 def rf_binary(spark, sf):
     """16-attribute binary forest (20 trees, depth 10, 32 quantile bins), 0.8 hash split."""
     conn = clean.cast_columns(tables.conn_records(spark, sf)).withColumn("label_bin", labels.binary_label_a())
-    conn = clean.drop_null_subset(conn, [*C.PRESETS["f16"], C.LABEL_COL])
     train, test = balance.split_frames(conn, C.TRAIN_FRACTION)
+    train = clean.drop_null_subset(train, [*C.PRESETS["f16"], C.LABEL_COL])
     pipeline, _, label_col = training.build_pipeline_f16("binary")
     model = pipeline.fit(train)
     scored = model.transform(test)

@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 from .. import config as C
 from ..operators import balance, clean, labels
 from ..session import scratch_path
-from ..sources import paged, synthetic, tables
+from ..sources import tables
 from ..streaming import delivery, inference
 from .queries import register
 
@@ -90,10 +90,11 @@ def stream_score(spark, sf):
     model.write().overwrite().save(path)
     loaded = PipelineModel.load(path)
     decoded = inference.decode(_wire_stream(spark, sf))
-    decoded = decoded.filter(~F.col("_corrupt"))
-    scored = inference.score(decoded, loaded)
-    projected = inference.output_projection(scored, extra=["key"])
-    out = inference.routed(projected, "by_name", corrupt_col=None)
+    scored = inference.score(decoded.filter(~F.col("_corrupt")), loaded)
+    projected = inference.output_projection(scored, extra=["key", "_corrupt"])
+    # undecodable records can't be scored; they go on to the dead letters
+    corrupt = decoded.filter(F.col("_corrupt")).select("key", "_corrupt")
+    out = inference.routed(projected.unionByName(corrupt, allowMissingColumns=True), "by_name")
     res = inference.run_to_table(out, "stream-score")
     return res.select("topic", F.col("key").cast("string").alias("key"), "predicted_label", "prediction")
 
@@ -110,53 +111,6 @@ def stream_deliver(spark, sf):
     return delivery.read_delivered(spark, transport.folder)
 
 
-@register("paged_source")
-def paged_source(spark, sf):
-    """All pages of the events table through the partitioned paged reader."""
-    paged.register(spark)
-    return (
-        spark.read.format(paged.SOURCE_NAME)
-        .option("path", os.path.join(sf, "events.parquet"))
-        .option("seq", "event_id")
-        .option("columns", "event_id,user_id,event_type,value")
-        .option("limit", str(C.FETCH_BATCH_SIZE))
-        .load()
-    )
-
-
-@register("paged_stream")
-def paged_stream(spark, sf):
-    """The paged reader as a stream (offsets = records received)."""
-    paged.register(spark)
-    stream = (
-        spark.readStream.format(paged.SOURCE_NAME)
-        .option("path", os.path.join(sf, "events.parquet"))
-        .option("seq", "event_id")
-        .option("columns", "event_id,user_id,event_type,value")
-        .option("limit", str(C.FETCH_BATCH_SIZE))
-        .load()
-    )
-    base = scratch_path(spark, f"paged-{uuid.uuid4().hex[:12]}")
-    q = inference.start_sink(stream, os.path.join(base, "_checkpoint"), fmt="parquet", path=os.path.join(base, "out"))
-    q.processAllAvailable()
-    q.stop()
-    return spark.read.parquet(os.path.join(base, "out"))
-
-
-@register("synthetic_label_mix")
-def synthetic_label_mix(spark, sf):
-    """One synthetic record per lineitem row; label mix and integer ranges per label."""
-    syn = synthetic.synthetic_records(tables.conn_records(spark, sf).select("key"))
-    return syn.groupBy(C.LABEL_COL).agg(
-        F.count(F.lit(1)).alias("n"),
-        F.min("orig_bytes").alias("min_orig_bytes"),
-        F.max("orig_bytes").alias("max_orig_bytes"),
-        F.count(F.when(F.col("src_port") == 0, 1)).alias("n_zero_src_port"),
-        F.count(F.when(F.col("local_orig"), 1)).alias("n_local_orig"),
-        F.count_distinct("protocol").alias("n_protocols"),
-    )
-
-
 @register("wire_hash_split_counts")
 def wire_hash_split_counts(spark, sf):
     """R6 at the label level: train/test rows per label (the split's class balance)."""

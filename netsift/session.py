@@ -18,11 +18,13 @@ CHECKPOINT_CONF = "spark.checkpoint.dir"
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder the cluster names in ``spark.checkpoint.dir``.
 
-    Only when the setting is absent (local tests) a fresh folder is created
-    and registered; on a cluster the configured shared folder is used as is.
+    Where the setting is absent, a local master gets a fresh folder; any other
+    master must name one, as executors can't see a folder of the driver.
     """
     conf = spark.conf.get(CHECKPOINT_CONF, None)
     if not conf:
+        if spark.sparkContext.master.split("[")[0] != "local":
+            raise ValueError(f"set {CHECKPOINT_CONF} to a folder that all executors share")
         conf = tempfile.mkdtemp(prefix="netsift-ckpt-")
         spark.conf.set(CHECKPOINT_CONF, conf)
     spark.sparkContext.setCheckpointDir(conf)

@@ -17,14 +17,18 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType | str | None =
     return r.csv(path)
 
 
-def read_records(spark: SparkSession, path: str, schema: T.StructType | str | None = None) -> DataFrame:
-    """Parquet file or folder (format chosen from the path); anything else is CSV.
+def read_records(
+    spark: SparkSession, path: str, schema: T.StructType | str | None = None, fmt: str | None = None
+) -> DataFrame:
+    """Records in Parquet or CSV: ``fmt`` says which, else a ``.csv`` path is CSV and any other Parquet.
 
-    Folders are read recursively; ``_``/``.`` files are skipped by Spark.
+    Partition folders (``day=...``) become columns; ``_``/``.`` files are
+    skipped by Spark.
     """
-    if path.endswith(".csv"):
+    if (fmt or ("csv" if path.rstrip("/").endswith(".csv") else "parquet")) == "csv":
         return read_csv(spark, path, schema)
-    return spark.read.option("recursiveFileLookup", "true").parquet(path)
+    reader = spark.read if schema is None else spark.read.schema(schema)
+    return reader.parquet(path)
 
 
 def default_fieldnames() -> list[str]:

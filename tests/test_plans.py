@@ -1,7 +1,6 @@
 """Plan-shape checks: pruning and pushdown reach the Parquet scans."""
 
 import __spark_entry__ as entry
-from netsift.sources import paged
 
 
 def _plan(df):
@@ -20,10 +19,3 @@ def test_filter_pushed_to_scan(spark, sf_small):
     assert "PushedFilters: [IsNotNull(event_id), LessThan(event_id,100)]" in plan
 
 
-def test_paged_size_from_footer(sf_small):
-    import pyarrow.parquet as pq
-
-    path = f"{sf_small}/events.parquet"
-    ids = pq.read_table(path, columns=["event_id"]).column(0).to_pylist()
-    assert sorted(ids) == list(range(len(ids)))  # dense sequence
-    assert paged.ParquetPages(path, "event_id").size() == len(ids)
