@@ -341,7 +341,7 @@ def test_quality_is_kneser_ney(spark, docs, none, monkeypatch):
     texts = ["the cat sat on the mat", "the dog sat on the log", "a cat and a dog", "the cat sat on the mat", "xqzk 漢字 𝔘", None]
     df = spark.createDataFrame([(i, t, None if i == 5 else "en") for i, t in enumerate(texts)], "doc_id long, text string, lang string")
     labels = spark.createDataFrame([(0, 1), (1, 1), (1, 1), (2, 1), (4, 0), (None, 1)], "doc_id long, quality int")
-    for size in (64 << 20, 1024):  # one shard, several shards
+    for size in (64 << 20, 2048):  # one shard, several shards
         monkeypatch.setattr(quality, "SHARD_BYTES", size)
         got = {r["doc_id"]: r["perplexity"] for r in quality.judged(df, labels).collect()}
         for i, t in enumerate(texts):
