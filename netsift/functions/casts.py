@@ -39,12 +39,17 @@ def bool_to_int(c: Column | str) -> Column:
     return F.when(_col(c).cast("string") == "false", F.lit(0)).otherwise(F.lit(1))
 
 
+#: What counts as a number on the wire; a bare cast would also take Java's ``1d`` and ``2f``.
+NUMBER = r"(?i)^\s*[+-]?(([0-9]+\.?[0-9]*|\.[0-9]+)(e[+-]?[0-9]+)?|inf|infinity|nan)\s*$"
+
+
 def wire_number(c: Column | str) -> Column:
-    """Number sent as text: unparsable or missing → 0.0."""
-    return F.coalesce(_col(c).cast("string").try_cast("double"), F.lit(0.0))
+    """Number sent as text, white space around it allowed: unparsable or missing → 0.0."""
+    s = _col(c).cast("string")
+    return F.coalesce(F.when(s.rlike(NUMBER), s.try_cast("double")), F.lit(0.0))
 
 
 def wire_bool(c: Column | str) -> Column:
-    """Boolean sent as text: true iff lower(trim(text)) is one of the true spellings."""
-    t = F.lower(F.trim(_col(c).cast("string")))
+    """Boolean sent as text: true iff the lower-cased text without outer white space is one of the true spellings."""
+    t = F.lower(F.regexp_replace(_col(c).cast("string"), r"^\s+|\s+$", ""))
     return F.coalesce(t.isin(*WIRE_TRUE), F.lit(False))

@@ -7,7 +7,7 @@ counts each several times. Here every slice lives in one DataFrame with a
 * the slice plan (attack rows per slice → benign rows needed, full benign
   copies, remainder fraction) is an aggregate over the label histogram,
   at most ``top_k`` rows;
-* benign rows meet that plan through a scalar subquery (one tiny array),
+* rows meet that plan through a scalar subquery (one tiny array),
   so no join and no driver loop is involved, and each benign row is
   emitted ``copies + [hash < fraction]`` times per slice with
   ``explode(sequence(...))`` — a narrow, shuffle-free step;
@@ -88,15 +88,22 @@ def slice_plan(
     No benign rows at all is an error.
     """
     check_share(p)
-    hist = df.groupBy(label).agg(F.count(F.lit(1)).alias("n"))
-    benign_n = hist.filter(F.col(label) == benign).select(F.sum("n").cast("double")).scalar()
-    top = top_attack_labels(df, k, label, benign, "n")
-    need = benign_needed(F.col("n"), p)
-    b = F.coalesce(benign_n, F.lit(0.0))
-    return top.select(
-        F.col(label).alias("slice"),
-        F.col("n").alias("attack_rows"),
-        need.alias("benign_needed"),
+    attack = F.col(label) != benign
+    ranked = F.array_sort(F.collect_list(F.when(attack, F.struct((-F.col("n")).alias("minus"), F.col(label).alias("slice")))))
+    # one row over the histogram: the benign count and the top k labels (ties by label)
+    one = (
+        df.groupBy(label)
+        .agg(F.count(F.lit(1)).alias("n"))
+        .agg(
+            F.coalesce(F.sum(F.when(F.col(label) == benign, F.col("n"))).cast("double"), F.lit(0.0)).alias("b"),
+            F.slice(ranked, 1, k).alias("top"),
+        )
+    )
+    b = F.col("b")
+    return one.select("b", F.inline("top")).select(
+        "slice",
+        (-F.col("minus")).alias("attack_rows"),
+        benign_needed(-F.col("minus"), p).alias("benign_needed"),
         F.when(b > 0, b).otherwise(F.raise_error(F.lit("no benign rows to rebalance with"))).alias("benign_rows"),
     ).select(
         "slice",
@@ -119,24 +126,28 @@ def rebalance(
     """Attack slice + ``copies`` full benign copies + a hashed remainder sample.
 
     Output: input columns plus ``slice`` and ``copy`` (0 for attack rows,
-    1..n for the benign copies of a row within a slice).
+    1..n for the benign copies of a row within a slice). Two passes over
+    ``df``: the histogram behind the plan, and one scan in which each row
+    finds the slices it belongs to and the range of its copies there.
     """
-    plan = slice_plan(df, k, p, label, benign)
-    plan_arr = plan.select(
-        F.collect_list(F.struct("slice", "copies", "fraction")).alias("p")
-    ).scalar()
-    attacks = label_slices(df, k, label, benign).withColumn("copy", F.lit(0))
+    plan = slice_plan(df, k, p, label, benign).select(F.collect_list(F.struct("slice", "copies", "fraction")).alias("p"))
     u = unit_hash(key, SAMPLE_SALT)
-    benign_rows = (
-        df.filter(F.col(label) == benign)
-        .withColumn("__plan", plan_arr)
-        .select("*", F.inline("__plan"))
-        .withColumn("__n", F.col("copies") + F.when(u < F.col("fraction"), 1).otherwise(0))
-        .filter(F.col("__n") > 0)
-        .withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("__n"))))
-        .drop("__plan", "__n", "copies", "fraction")
+
+    def place(slice_: Column, first: Column, last: Column) -> Column:
+        return F.struct(slice_.alias("slice"), first.alias("__a"), last.cast("int").alias("__b"))
+
+    zero = F.lit(0)
+    as_attack = F.transform(F.filter("__plan", lambda s: s["slice"] == F.col(label)), lambda s: place(s["slice"], zero, zero))
+    as_benign = F.transform(
+        "__plan", lambda s: place(s["slice"], F.lit(1), s["copies"] + F.when(F.col("__u") < s["fraction"], 1).otherwise(0))
+    )
+    return (
+        df.withColumns({"__plan": plan.scalar(), "__u": u})
+        .select(*df.columns, F.inline(F.when(F.col(label) == benign, as_benign).otherwise(as_attack)))
+        .filter(F.col("__b") >= F.col("__a"))
+        .withColumn("copy", F.explode(F.sequence("__a", "__b")))
+        .drop("__a", "__b")
     )
-    return attacks.unionByName(benign_rows)
 
 
 def min_rows_gate(df: DataFrame, n: int = MIN_SLICE_ROWS, col: str = "slice") -> DataFrame:

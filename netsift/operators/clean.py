@@ -38,11 +38,24 @@ def drop_null_subset(df: DataFrame, subset: Iterable[str]) -> DataFrame:
     missing = [c for c in subset if c not in df.columns]
     if missing:
         raise ValueError(f"dropna subset column(s) {missing} not in {df.columns}")
-    return df.na.drop(how="any", subset=subset)
+    return df.filter(_complete(df, subset))
 
 
 def drop_null_any(df: DataFrame) -> DataFrame:
-    return df.na.drop(how="any")
+    """Drop rows with null (or NaN) in any column."""
+    return df.filter(_complete(df, df.columns))
+
+
+def _complete(df: DataFrame, cols: Sequence[str]) -> Column:
+    """One test per column, which Catalyst can push to the scan one by one."""
+    kinds = {f.name: f.dataType for f in df.schema.fields}
+    ok = F.lit(True)
+    for c in cols:
+        x = F.col(f"`{c}`")
+        ok = ok & x.isNotNull()
+        if isinstance(kinds[c], (T.DoubleType, T.FloatType)):
+            ok = ok & ~F.isnan(x)
+    return ok
 
 
 def decode_json(

@@ -77,12 +77,11 @@ _q(
 
 _q(
     "bool_to_double",
-    "SELECT t.key, "
-    + ", ".join(f"{_bool_to_double('t.' + c)} AS {c}_text" for c in BOOLS)
+    "SELECT key, "
+    + ", ".join(f"{_bool_to_double('(' + _wire_bool(c) + ')')} AS {c}_text" for c in BOOLS)
     + ", "
-    + ", ".join(f"{_bool_to_double('c.' + c)} AS {c}" for c in BOOLS)
-    + " FROM text t JOIN conn c ON t.key = c.key",
-    TEXT,
+    + ", ".join(f"{_bool_to_double(c)} AS {c}" for c in BOOLS)
+    + " FROM conn",
 )
 
 _q(

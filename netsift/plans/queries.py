@@ -74,11 +74,12 @@ def cast_numeric_ports(spark, sf):
 
 @register("bool_to_double")
 def bool_to_double_q(spark, sf):
-    t = tables.text_records(spark, sf)
-    conn = tables.conn_records(spark, sf)
-    a = t.select("key", *[bool_to_double(c).alias(f"{c}_text") for c in C.BOOLEAN_COLS])
-    b = conn.select("key", *[bool_to_double(c).alias(c) for c in C.BOOLEAN_COLS])
-    return a.join(b, "key")
+    text, typed = tables.text_columns(), tables.conn_columns()
+    return tables.joined_rows(spark, sf).select(
+        typed["key"].alias("key"),
+        *[bool_to_double(text[c]).alias(f"{c}_text") for c in C.BOOLEAN_COLS],
+        *[bool_to_double(typed[c]).alias(c) for c in C.BOOLEAN_COLS],
+    )
 
 
 @register("bool_to_int")

@@ -174,21 +174,19 @@ def _wire_bool(c: Column, ln: Column) -> Column:
     )
 
 
-def text_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+def text_columns() -> dict[str, Column]:
     """All record columns as text, the way a CSV or an API hands them over.
 
     ``duration`` is ``'-'`` (Zeek's "unset") for one order in 89; booleans use
-    the three spellings of :func:`_wire_bool`.
+    the three spellings of :func:`_wire_bool`. ``rule_label`` comes last.
     """
-    joined = joined_rows(spark, sf_dir)
     cols = conn_columns()
-    ln = F.col("l_linenumber")
     out: dict[str, Column] = {"key": cols["key"]}
     for name, expr in cols.items():
         if name in ("key", "rule_label"):
             continue
         if name in ("local_orig", "local_resp"):
-            out[name] = _wire_bool(expr, ln)
+            out[name] = _wire_bool(expr, F.col("l_linenumber"))
         elif name == "duration":
             out[name] = F.when(F.col("l_orderkey") % 89 == 0, F.lit("-")).otherwise(
                 expr.cast("string")
@@ -196,7 +194,12 @@ def text_records(spark: SparkSession, sf_dir: str) -> DataFrame:
         else:
             out[name] = expr.cast("string")
     out["rule_label"] = cols["rule_label"]
-    return joined.select(*[e.alias(n) for n, e in out.items()])
+    return out
+
+
+def text_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The connection records with every column as text."""
+    return joined_rows(spark, sf_dir).select(*[e.alias(n) for n, e in text_columns().items()])
 
 
 def wire_records(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -205,33 +208,26 @@ def wire_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     One order in 97 sends undecodable text; one in 89 sends ``duration`` as
     the string ``"-"``; on lines divisible by 3 the booleans arrive as the
     strings ``"True"``/``"False"`` instead of JSON booleans. Null fields are
-    left out of the JSON, as ``to_json`` does. Each row serialises exactly
-    one of four struct variants (CASE branches are evaluated lazily).
+    left out of the JSON, as ``to_json`` does. The fields that vary are put
+    in front of one serialised struct of the others.
     """
     joined = joined_rows(spark, sf_dir)
     cols = conn_columns()
     ok, ln = F.col("l_orderkey"), F.col("l_linenumber")
-    names = [n for n in cols if n not in ("key", "rule_label")]
-
-    def variant(dash: bool, bool_text: bool) -> Column:
-        fields = []
-        for n in names:
-            e = cols[n]
-            if n == "duration" and dash:
-                e = F.lit("-")
-            elif n in ("local_orig", "local_resp") and bool_text:
-                e = F.when(e, F.lit("True")).when(~e, F.lit("False"))
-            fields.append(e.alias(n))
-        return F.to_json(F.struct(*fields))
-
-    dash, btext = ok % 89 == 0, ln % 3 == 0
-    value = (
-        F.when(ok % 97 == 0, F.lit("junk"))
-        .when(dash & btext, variant(True, True))
-        .when(dash, variant(True, False))
-        .when(btext, variant(False, True))
-        .otherwise(variant(False, False))
-    )
+    vary = ("duration", "local_orig", "local_resp")
+    same = F.to_json(F.struct(*[e.alias(n) for n, e in cols.items() if n not in ("key", "rule_label", *vary)]))
+
+    def member(name: str, json: Column) -> Column:
+        return F.coalesce(F.concat(F.lit(f'"{name}":'), json, F.lit(",")), F.lit(""))
+
+    def truth(name: str) -> Column:
+        spoken = F.when(ln % 3 == 0, F.when(cols[name], '"True"').otherwise('"False"'))
+        return F.when(cols[name].isNotNull(), F.coalesce(spoken, cols[name].cast("string")))
+
+    duration = F.when(ok % 89 == 0, F.lit('"-"')).otherwise(cols["duration"].cast("string"))
+    members = [member("duration", duration), *[member(n, truth(n)) for n in vary[1:]]]
+    whole = F.concat(F.lit("{"), *members, F.substring(same, 2, 2**31 - 1))
+    value = F.when(ok % 97 == 0, F.lit("junk")).otherwise(whole)
     src_ip = cols["src_ip"]
     return joined.select(
         cols["key"].alias("record_key"),
