@@ -11,9 +11,9 @@ Quantiles come in two forms:
 * ``relative_error > 0`` (default 0.001, Spark ML's): the Greenwald-Khanna
   sketch of ``percentile_approx`` — bounded memory, mergeable, the form to
   use at scale;
-* ``relative_error == 0``: exact quantiles from per-value counts and a
-  running sum per column (memory follows the number of *distinct* values
-  of a column, not the rows). Equal to DuckDB's ``quantile_disc`` and to
+* ``relative_error == 0``: exact quantiles from per-value counts and
+  running sums within ranges of the distinct values, so that no task holds
+  a whole column. Equal to DuckDB's ``quantile_disc`` and to
   ``approxQuantile(..., 0.0)``.
 """
 
@@ -27,9 +27,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..config import NOMINAL_SHARE, NUMERIC_TRIM, QUANTILE_RELATIVE_ERROR
-from .util import bounded_broadcast, long_form
+from .util import long_form
 
 INF = float("inf")
+#: Ranges into which the distinct values of a column are cut for exact ranks.
+RANGES = 64
 
 
 def bucket_probs(num_buckets: int) -> list[float]:
@@ -43,12 +45,13 @@ def quantile_table(
     relative_error: float = QUANTILE_RELATIVE_ERROR,
 ) -> DataFrame:
     """``(feature, q)``: quantiles of each column at ``probs``; null and NaN ignored."""
-    long = long_form(df, cols).filter(F.col("value").isNotNull() & ~F.isnan("value"))
     if relative_error > 0:
         accuracy = max(1, int(math.ceil(1.0 / relative_error)))
-        return long.groupBy("feature").agg(
-            F.percentile_approx("value", [float(p) for p in probs], accuracy).alias("q")
-        )
+        one = {c: F.when(~F.isnan(F.col(c).cast("double")), F.col(c).cast("double")) for c in cols}
+        sketches = df.agg(*[F.percentile_approx(x, [float(p) for p in probs], accuracy).alias(c) for c, x in one.items()])
+        both = F.array(*[F.struct(F.lit(c).alias("feature"), F.col(f"`{c}`").alias("q")) for c in cols])
+        return sketches.select(F.inline(both)).filter("q is not null")
+    long = long_form(df, cols).filter(F.col("value").isNotNull() & ~F.isnan("value"))
     counts = long.groupBy("feature", "value").agg(F.count(F.lit(1)).alias("n"))
     return exact_quantiles(counts, probs)
 
@@ -56,12 +59,30 @@ def quantile_table(
 def exact_quantiles(counts: DataFrame, probs: Sequence[float]) -> DataFrame:
     """``(feature, q)`` from ``(feature, value, n)`` counts: rank ``ceil(p*N)`` per column.
 
-    The running sum is a window per column over its distinct values.
+    A sketch of the distinct values cuts each column into ``RANGES`` ranges;
+    ranks are running sums within a range plus the rows of the ranges before
+    it. The sketch decides how even the ranges are and never the answer.
     """
-    run = Window.partitionBy("feature").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
-    whole = Window.partitionBy("feature")
-    ranked = counts.select(
-        "feature", "value", F.sum("n").over(run).alias("cum"), F.sum("n").over(whole).alias("tot")
+    counts = counts.filter("n > 0")
+    cuts = counts.groupBy("feature").agg(
+        F.percentile_approx("value", [i / RANGES for i in range(1, RANGES)], 10 * RANGES).alias("cuts")
+    )
+    at = F.size(F.filter(F.col("__cuts")[F.col("feature")], lambda e: e <= F.col("value")))
+    placed = counts.withColumn("__cuts", _edges_map(cuts, "cuts")).select("feature", at.alias("range"), "value", "n")
+    sums = placed.groupBy("feature", "range").agg(F.sum("n").alias("rows"))
+    # at most RANGES rows a column
+    before = Window.partitionBy("feature").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    sums = sums.select(
+        "feature",
+        "range",
+        F.coalesce(F.sum("rows").over(before), F.lit(0)).alias("before"),
+        F.sum("rows").over(Window.partitionBy("feature")).alias("tot"),
+    )
+    run = Window.partitionBy("feature", "range").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
+    ranked = (
+        placed.withColumn("cum", F.sum("n").over(run))
+        .join(sums, ["feature", "range"])
+        .select("feature", "value", (F.col("cum") + F.col("before")).alias("cum"), "tot")
     )
     picks = []
     for p in probs:
@@ -103,22 +124,14 @@ def quantile_splits(
     return qt.select("feature", splits_from_quantiles(F.col("q")).alias("splits"))
 
 
-def bucket_of(x: Column, splits: Column, max_splits: int | None = None) -> Column:
+def bucket_of(x: Column, splits: Column) -> Column:
     """Bucketizer rule: bucket i = [s_i, s_{i+1}), last bucket closed; NaN → extra bucket; null → null.
 
-    By default a higher-order ``filter`` counts the edges ≤ x (measured
-    fastest: the unrolled form, ``max_splits``, generates methods too large
-    to compile once many columns are binned in one projection).
+    A higher-order ``filter`` counts the edges ≤ x (measured faster than an
+    unrolled sum, whose methods grow too large to compile).
     """
     n_buckets = F.size(splits) - 1
-    if max_splits is None:
-        idx = F.size(F.filter(splits, lambda e: e <= x)) - 1
-    else:
-        terms = [
-            F.when((F.lit(i) < n_buckets) & (x >= F.element_at(splits, i + 1)), F.lit(1)).otherwise(F.lit(0))
-            for i in range(1, max_splits - 1)
-        ]
-        idx = sum(terms[1:], terms[0]) if terms else F.lit(0)
+    idx = F.size(F.filter(splits, lambda e: e <= x)) - 1
     return (
         F.when(x.isNull(), F.lit(None))
         .when(F.isnan(x), n_buckets)
@@ -246,10 +259,10 @@ def nominal_bins(
 ) -> DataFrame:
     """Add ``<col>_bin`` nominal indexes with the tail folded into one index.
 
-    The dictionary (kept values only) is broadcast after its size is checked;
-    above the bound the joins shuffle instead.
+    The dictionary (kept values only) is cached, as one join per column reads
+    it; whether a join broadcasts it is left to Spark's size threshold.
     """
-    dictionary = bounded_broadcast(dictionary if dictionary is not None else nominal_dictionary(df, cols, share))
+    dictionary = (dictionary if dictionary is not None else nominal_dictionary(df, cols, share)).cache()
     out = df
     for c in cols:
         d = dictionary.filter(F.col("feature") == c).select(
@@ -334,7 +347,15 @@ def full_binning(
     return nominal_bins(out, nominal_cols, nominal_share, suffix, dictionary=dictionary)
 
 
-def distinct_per_feature(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """``(feature, n_distinct)``; null counts as one value, like ``distinct().count()``."""
+def distinct_per_feature(df: DataFrame, cols: Sequence[str], relative_error: float = 0.0) -> DataFrame:
+    """``(feature, n_distinct)``; null counts as one value, like ``distinct().count()``.
+
+    With ``relative_error`` above 0 the counts are estimates of that standard
+    error from one aggregation without a shuffle of the values.
+    """
+    if relative_error > 0:
+        one = lambda c: F.approx_count_distinct(c, relative_error) + F.max(F.col(c).isNull().cast("int"))
+        n = df.agg(*[F.coalesce(one(c), F.lit(0)).cast("long").alias(c) for c in cols])
+        return n.select(F.inline(F.array(*[F.struct(F.lit(c).alias("feature"), F.col(c).alias("n_distinct")) for c in cols])))
     long = long_form(df, cols, "string")
     return long.distinct().groupBy("feature").agg(F.count(F.lit(1)).alias("n_distinct"))

@@ -7,22 +7,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Largest dictionary (rows) that is broadcast to every executor.
-MAX_BROADCAST_ROWS = 1_000_000
-
-
-def bounded_broadcast(small: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """Broadcast ``small`` only after proving it has at most ``max_rows`` rows.
-
-    The table is cached first so the size check and the later join read the
-    same materialised rows (one pass over the source). Above the bound the
-    table is returned as is and Spark plans a shuffle join.
-    """
-    small = small.cache()
-    n = small.count()
-    return F.broadcast(small) if n <= max_rows else small
-
-
 def long_form(df: DataFrame, cols: Sequence[str], value_type: str = "double", keep: Sequence[str] = ()) -> DataFrame:
     """``(feature, value)`` rows: one per input row and listed column.
 
@@ -31,7 +15,3 @@ def long_form(df: DataFrame, cols: Sequence[str], value_type: str = "double", ke
     """
     arr = F.array(*[F.struct(F.lit(c).alias("feature"), F.col(c).cast(value_type).alias("value")) for c in cols])
     return df.select(*keep, F.inline(arr))
-
-
-def literal_array(values: Sequence[float]) -> Column:
-    return F.array(*[F.lit(float(v)) for v in values])

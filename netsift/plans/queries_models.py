@@ -23,7 +23,8 @@ def rf_binary(spark, sf):
     conn = clean.cast_columns(tables.conn_records(spark, sf)).withColumn("label_bin", labels.binary_label_a())
     train, test = balance.split_frames(conn, C.TRAIN_FRACTION)
     train = clean.drop_null_subset(train, [*C.PRESETS["f16"], C.LABEL_COL])
-    pipeline, _, label_col = training.build_pipeline_f16("binary")
+    arity = training.category_arity(train, C.CATEGORICAL_COLS)
+    pipeline, _, label_col = training.build_pipeline_f16("binary", arity=arity)
     model = pipeline.fit(train)
     scored = model.transform(test)
     return metrics.summary(metrics.confusion_counts(scored, label_col, "prediction"), 1.0)

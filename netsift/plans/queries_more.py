@@ -43,20 +43,12 @@ def _clean_f12(spark, sf) -> DataFrame:
 def _scored(spark, sf) -> tuple[DataFrame, DataFrame]:
     """Rule-scored rows with label and prediction indexed by the label dictionary."""
     conn = _conn(spark, sf)
-    d = labels.frequency_index(conn, C.LABEL_COL)
-    d = balance_safe(d)
+    d = labels.frequency_index(conn, C.LABEL_COL).cache()  # read by two joins; one row per class
     t = labels.apply_index(conn.select("key", C.LABEL_COL, "rule_label"), d, C.LABEL_COL, "label")
     t = labels.apply_index(t, d, "rule_label", "prediction", dict_col=C.LABEL_COL)
     return t, d
 
 
-def balance_safe(d: DataFrame) -> DataFrame:
-    """Label dictionaries are small (one row per class); prove it before broadcasting."""
-    from ..operators.util import bounded_broadcast
-
-    return bounded_broadcast(d, 100_000)
-
-
 # --- balance -----------------------------------------------------------------
 
 
