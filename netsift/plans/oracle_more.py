@@ -300,15 +300,44 @@ _q(
     "bcounts AS (SELECT label, prediction, count(*) AS n FROM bin GROUP BY label, prediction)",
     *_metric_ctes("bcounts"),
 )
-_q(
-    "matrix_text",
-    "SELECT '[' || string_agg(line, ';  ' ORDER BY label) || ']' AS confusion_matrix FROM lines",
-    *SCORED_CTES,
+MATRIX = "SELECT '[' || string_agg(line, ';  ' ORDER BY label) || ']' AS confusion_matrix FROM lines"
+MATRIX_CTES = (
     "ls AS (SELECT DISTINCT label FROM counts)",
     "grid AS (SELECT t.label, p.label AS pred, coalesce(c.n, 0) AS n FROM ls t CROSS JOIN ls p "
     "LEFT JOIN counts c ON c.label = t.label AND c.prediction = p.label)",
     "lines AS (SELECT label, '[' || string_agg(CAST(n AS VARCHAR), ';' ORDER BY pred) || ']' AS line FROM grid GROUP BY label)",
 )
+_q("matrix_text", MATRIX, *SCORED_CTES, *MATRIX_CTES)
+
+
+def _weighted(x: str) -> str:
+    return f"round(sum({x}) / sum(support), 10)"
+
+
+_q(
+    "run_report",
+    " UNION ALL ".join(
+        [
+            f"SELECT 'overall' AS section, '' AS label, '{m}' AS metric, printf('%.6f', {_weighted(x)}) AS value FROM pc"
+            for m, x in {
+                "accuracy": "tp",
+                "weighted_precision": "precision * support",
+                "weighted_recall": "recall * support",
+                "weighted_f1": "f1 * support",
+                "f1": "f1 * support",
+            }.items()
+        ]
+        + [f"SELECT 'confusion', '', 'confusion_matrix', confusion_matrix FROM ({MATRIX})"]
+        + [
+            f"SELECT 'per_class', coalesce(l.label_multi, CAST(pc.label AS VARCHAR)), '{m}', printf('%.4f', {m}) "
+            "FROM pc LEFT JOIN lidx l ON pc.label = l.label_multi_idx"
+            for m in ("precision", "recall", "f1", "true_positive_rate", "false_positive_rate")
+        ]
+    ),
+    *SCORED_CTES,
+    *MATRIX_CTES,
+    *_metric_ctes(),
+)
 
 # --- routing ---------------------------------------------------------------------
 

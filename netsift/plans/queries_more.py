@@ -223,6 +223,12 @@ def matrix_text(spark, sf):
     return metrics.matrix_text(metrics.confusion_counts(scored))
 
 
+@register("run_report")
+def run_report(spark, sf):
+    scored, d = _scored(spark, sf)
+    return metrics.run_report(metrics.confusion_counts(scored), d, f"{C.LABEL_COL}_idx", C.LABEL_COL)
+
+
 # --- routing -------------------------------------------------------------------
 
 
