@@ -17,7 +17,10 @@ A document is the set of its word shingles. Two link when
    (power of two); a set that can link to the class below signs there too.
    Sets under ``SINGLE`` shingles use single shingles only.
 4. Each signature links its holders to its smallest one; these pairs, if the
-   sizes allow a link, are verified on the whole sets. Then the
+   sizes and the parity bitmaps allow a link, are verified on the whole sets.
+   A bitmap holds, per remainder of the shingles, whether an odd number has
+   it: the bits in which two bitmaps differ are at most the shingles in which
+   the sets differ, so what they rule out is no link. Then the
    holders of a signature that are still in different components meet
    too: as pairs where a signature has few, in blocks of bounded size where
    it has many. No link between components is lost.
@@ -111,6 +114,21 @@ def least_shared(n: int, percent: int) -> int:
     return -(-percent * n // 100)
 
 
+def parities(s: np.ndarray) -> bytes:
+    """Parity bitmap of a set: a bit per remainder by a power of two of at least its size."""
+    size = max(64, 1 << max(len(s) - 1, 0).bit_length())
+    odd = np.bincount((s & np.uint64(size - 1)).astype(np.int64), minlength=size) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").tobytes()
+
+
+def least_apart(x: bytes, y: bytes) -> int:
+    """At most the size of the symmetric difference of two sets with these bitmaps; the longer one is folded."""
+    x, y = np.frombuffer(x, np.uint8), np.frombuffer(y, np.uint8)
+    if len(x) < len(y):
+        x, y = y, x
+    return int(np.bitwise_count(np.bitwise_xor.reduce(x.reshape(-1, len(y)), 0) ^ y).sum())
+
+
 def signatures(s: np.ndarray, often: np.ndarray, percent: int, cuts: list[float]) -> tuple[np.ndarray, np.ndarray]:
     """Signatures of one set from rare shingles and from frequent ones: ``s`` its shingles, ``often`` their estimates."""
     n = len(s)
@@ -158,7 +176,7 @@ def hash_of(members: tuple[int, ...], c: int) -> int:
 
 
 def signed(docs: DataFrame, words: int, percent: int) -> DataFrame:
-    """doc_id, n_shingles, digest (of the set), rare and common signatures, of every row."""
+    """doc_id, n_shingles, digest and bits (of the set), rare and common signatures, of every row."""
     table = frequencies(docs, words)
     cuts, shared = classes(table), docs.sparkSession.sparkContext.broadcast(table)  # fixed size
     kind = docs.schema["doc_id"].dataType.simpleString()
@@ -175,12 +193,13 @@ def signed(docs: DataFrame, words: int, percent: int) -> DataFrame:
                     "doc_id": d["doc_id"],
                     "n_shingles": [len(s) for s in sets],
                     "digest": [xxhash.xxh3_128_digest(s.tobytes()) for s in sets],
+                    "bits": [parities(s) for s in sets],
                     "rare": [r.view(np.int64) for r, _ in signs],
                     "common": [c.view(np.int64) for _, c in signs],
                 }
             )
 
-    schema = f"doc_id {kind}, n_shingles bigint, digest binary, rare array<bigint>, common array<bigint>"
+    schema = f"doc_id {kind}, n_shingles bigint, digest binary, bits binary, rare array<bigint>, common array<bigint>"
     return docs.select("doc_id", whole_text().alias("text")).mapInPandas(rows, schema)
 
 
@@ -332,13 +351,24 @@ def components(docs: DataFrame, words: int = 4, percent: int = 85) -> DataFrame:
     copies = members.where("doc_id is null or node is null or doc_id <> node").select("doc_id", "digest").distinct()
     nodes = rows.where("doc_id is not null and n_shingles > 0").join(checked(staged(copies, "copies"), 64), ["doc_id", "digest"], "left_anti")
     live = staged(holders(nodes.withColumnRenamed("doc_id", "node")), "live")
-    sizes = members.where("doc_id = node").groupBy("node").agg(F.min("n_shingles").alias("least"), F.max("n_shingles").alias("most"))
+    # a document in several rows with different sets has no bitmap and is always verified
+    bits = F.when(F.min("digest") == F.max("digest"), F.min("bits")).alias("bits")
+    sets = rows.where("doc_id is not null and n_shingles > 0").groupBy("doc_id")
+    sizes = staged(sets.agg(F.min("n_shingles").alias("least"), F.max("n_shingles").alias("most"), bits), "sizes")
+
+    def apart_at_most(batches):
+        for d in batches:
+            most = (100 - percent) * (d["ma"] + d["mb"]) // (100 + percent)
+            fits = [x is None or y is None or least_apart(x, y) <= m for x, y, m in zip(d["ta"], d["tb"], most)]
+            yield d.loc[fits, ["a", "b"]]
 
     def fitting(pairs: DataFrame) -> DataFrame:
-        """Distinct pairs (a, b) whose sizes allow a link."""
-        a, b = (sizes.select(F.col("node").alias(c), F.col("least").alias(f"l{c}"), F.col("most").alias(f"m{c}")) for c in "ab")
+        """Distinct pairs (a, b) whose sizes and bitmaps allow a link."""
+        kind = docs.schema["doc_id"].dataType.simpleString()
+        a, b = (sizes.select(F.col("doc_id").alias(c), F.col("least").alias(f"l{c}"), F.col("most").alias(f"m{c}"), F.col("bits").alias(f"t{c}")) for c in "ab")
         fits = (100 * F.col("ma") >= percent * F.col("lb")) & (100 * F.col("mb") >= percent * F.col("la"))
-        return staged(pairs.distinct().join(a, "a").join(b, "b").where(fits).select("a", "b"), "pairs")
+        both = pairs.distinct().join(a, "a").join(b, "b").where(fits).select("a", "b", "ma", "mb", "ta", "tb")
+        return staged(both.mapInPandas(apart_at_most, f"a {kind}, b {kind}"), "pairs")
 
     stars = fitting(live.where("node <> first").select(F.col("first").alias("a"), F.col("node").alias("b")))
     ends = stars.select(F.col("a").alias("doc_id")).unionByName(stars.select(F.col("b").alias("doc_id")))

@@ -98,6 +98,16 @@ def test_signatures_share_one_for_every_linking_pair():
             assert any(len(np.intersect1d(p, q)) for p, q in zip(a, b))
 
 
+def test_parity_bitmaps_never_exceed_the_difference():
+    rng = np.random.default_rng(5)
+    for _ in range(300):
+        pool = rng.integers(0, 1 << 63, 3000, dtype=np.int64).astype(np.uint64)
+        x, y = (np.unique(rng.choice(pool[: rng.integers(1, 3000)], rng.integers(1, 2500))) for _ in "xy")
+        apart = ngram_join.least_apart(ngram_join.parities(x), ngram_join.parities(y))
+        assert apart <= len(np.setxor1d(x, y))
+        assert ngram_join.least_apart(ngram_join.parities(x), ngram_join.parities(x)) == 0
+
+
 def test_byte_words_are_the_words():
     w = ByteWords()
     for t in ("", "  ", "a b\tcc\n\x0b\x0c\rd ", " x", "\x1cy z q"):
