@@ -9,7 +9,8 @@ aggregations of the gram table, and joins of its shards give the probability
 of every gram that any document holds. Shards of that table, each within
 ``SHARD_BYTES``, meet the documents by broadcast, one pass per shard, so the
 texts are never shuffled and a larger table only means more shards; the
-partial sums add up to each document's perplexity.
+partial sums add up, by id, language and digest of the text, to each row's
+perplexity.
 
 A document is kept if its perplexity is at most ``SLACK`` times the
 ``QUANTILE`` of the trusted documents of its language (of all trusted ones
@@ -118,7 +119,7 @@ def probabilities(counts: DataFrame) -> DataFrame:
 
 
 def partial_sums(docs: DataFrame, shard: pd.DataFrame) -> DataFrame:
-    """doc_id, lang, trusted, units, logp over the grams of one shard."""
+    """doc_id, lang, trusted, digest, units, logp over the grams of one shard."""
     shared = docs.sparkSession.sparkContext.broadcast((shard["gram"].to_numpy(), shard["logp"].to_numpy()))
 
     def rows(batches):
@@ -141,6 +142,7 @@ def scored(docs: DataFrame, labels: DataFrame) -> DataFrame:
     good = staged(good.withColumn("trusted", F.lit(1)), "trusted")
     source = docs.select("doc_id", F.col("lang").cast("string").alias("lang"), whole_text().alias("text"))
     source = source.join(checked(good), "doc_id", "left").withColumn("trusted", F.coalesce("trusted", F.lit(0)))
+    source = source.withColumn("digest", F.unhex(F.sha2(F.col("text").cast("binary"), 256)))
     counts = staged(gram_counts(source.select("text", "trusted")), "grams")
     if counts.where("trusted > 0").isEmpty():
         table = counts.select("gram", F.lit(0.0).alias("logp"))
@@ -149,19 +151,14 @@ def scored(docs: DataFrame, labels: DataFrame) -> DataFrame:
     table = staged(table, "logp")
     shards = max(1, -(-table.count() * 16 // SHARD_BYTES))
     parts = [partial_sums(source, table.where(F.pmod(F.xxhash64("gram"), F.lit(shards)) == s).toPandas()) for s in range(shards)]
-    if shards == 1:
-        sums = parts[0]
-    else:  # equal rows have equal sums, so each key holds every shard as often as its row repeats
-        keyed = [
-            x.withColumn("key", F.xxhash64("units", "doc_id", "lang")).withColumn("shard", F.lit(i)) for i, x in enumerate(parts)
-        ]
-        whole = keyed[0]
-        for x in keyed[1:]:
-            whole = whole.unionByName(x)
-        sums = whole.groupBy("doc_id", "lang", "trusted", "units", "key").agg(
-            (F.sum("logp") * shards / F.count("*")).alias("logp"), (F.count("*") / shards).cast("int").alias("times")
-        )
-        sums = sums.withColumn("again", F.explode(F.sequence(F.lit(1), F.col("times")))).drop("key", "times", "again")
+    whole = parts[0]
+    for x in parts[1:]:
+        whole = whole.unionByName(x)
+    # only rows with equal texts share a key and their sums are equal: it holds every shard as often as its row repeats
+    sums = whole.groupBy("doc_id", "lang", "trusted", "digest", "units").agg(
+        (F.sum("logp") * shards / F.count("*")).alias("logp"), (F.count("*") / shards).cast("int").alias("times")
+    )
+    sums = sums.withColumn("again", F.explode(F.sequence(F.lit(1), F.col("times")))).drop("digest", "times", "again")
     return staged(sums.withColumn("perplexity", F.exp(-F.col("logp") / F.col("units"))).drop("logp"), "scored")
 
 

@@ -360,6 +360,24 @@ def test_quality_is_kneser_ney(spark, docs, none, monkeypatch):
     assert quality.judged(none, labels).collect() == []
 
 
+@pytest.mark.parametrize("size", [64 << 20, 512])  # one shard, several shards
+def test_quality_scores_rows_with_null_and_repeated_ids_by_their_own_text(spark, monkeypatch, size):
+    monkeypatch.setattr(quality, "SHARD_BYTES", size)
+    good = ["the cat sat on the mat", "the dog sat on the log"]
+    rows = [(i, t, "en") for i, t in enumerate(good)]
+    rows += [(i, t, lang) for i in (None, 7) for lang in ("en", None) for t in ("the cat sat on the log", "xq zk vjw qqq zzz kkkk", "the dog sat on the mat")]
+    rows += [(None, "xq zk vjw qqq zzz kkkk", "en")] * 2 + [(None, None, "en"), (None, "", "en")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(0, 1), (1, 1)], "doc_id long, quality int")
+    order = lambda x: sorted(x, key=lambda r: (r[0] is None, r[0] or 0, r[1] or "", r[2]))
+    got = order((r["doc_id"], r["lang"], r["perplexity"], r["kept"]) for r in quality.judged(df, labels).collect())
+    limit = quality.SLACK * max(brute_kneser_ney(good, t) for t in good)
+    want = order((i, lang, p, p <= limit) for i, t, lang in rows for p in [brute_kneser_ney(good, t or "")])
+    assert [(r[0], r[1], r[3]) for r in got] == [(r[0], r[1], r[3]) for r in want]
+    assert [r[2] for r in got] == pytest.approx([r[2] for r in want], rel=1e-6)
+    assert {r[3] for r in got} == {True, False}
+
+
 def test_pipeline_stages(spark, sf_small):
     import corpus_pipeline as c
 
