@@ -10,9 +10,10 @@ of digits and addresses in disguise that no base span touches, with the same
 two words. Patterns and instances form a graph, scored in ``ROUNDS``: a
 pattern is worth the mean score of its distinct instances if at least
 ``SUPPORT`` distinct known ones carry it (candidates count against it until
-they score), an instance the mean over its two sides; known instances score
-1. Candidates that reach ``CONFIDENT`` on their best kind become spans and
-known instances of the next round.
+they score), an instance what its best pattern on either side is worth; known
+instances score 1. Candidates that reach ``CONFIDENT`` on their best kind
+become spans wherever they stand, and known instances of that kind from the
+next round on, so they can induce patterns of their own.
 
 Graph edges are aggregated per pattern and instance before they are joined,
 so a frequent word is no hot task. Edge cases: null and empty texts have no
@@ -125,32 +126,37 @@ def discovered(rows: DataFrame) -> DataFrame:
     def sides(column: str) -> DataFrame:
         s = rows.select("row", F.explode(column).alias("s")).select("row", "s.start", "s.end", "s.kind", F.lower("s.found").alias("instance"), "s.before", "s.after")
         both = F.explode(F.array(F.struct(F.lit("before").alias("side"), F.col("before").alias("word")), F.struct(F.lit("after").alias("side"), F.col("after").alias("word"))))
-        return s.withColumn("c", both).select("row", "start", "end", "kind", "instance", "c.side", "c.word").where("word <> ''")
+        return s.withColumn("c", both).select("row", "start", "end", "kind", "instance", "c.side", "c.word")
 
     edge = ["side", "word", "instance"]
-    seeds = sides("base").groupBy("kind", *edge).agg(F.count("*").alias("n")).drop("n")
+    seeds = sides("base").where("word <> ''").groupBy("kind", *edge).agg(F.count("*").alias("n")).drop("n")
     places = staged(sides("others").drop("kind"), "places")
-    loose = staged(places.groupBy(*edge).agg(F.count("*").alias("n")).drop("n"), "candidates")
-    seeds = staged(seeds, "seeds")
-    known = None
+    loose = staged(places.where("word <> ''").groupBy(*edge).agg(F.count("*").alias("n")).drop("n"), "candidates")
+    sure = F.count("*").cast("double")
+    seeds = staged(seeds.groupBy("kind", "side", "word").agg(sure.alias("sure"), sure.alias("base"), F.lit(0.0).alias("won")), "seeds")
+    held = staged(loose.groupBy("side", "word").agg(F.count("*").alias("loose")), "held")
+    known = None  # candidates by kind: score, and whether they joined the seeds (these have one kind, and score 1)
     for _ in range(ROUNDS):
-        # pattern scores: distinct known instances count 1 each, candidates what they scored so far
-        scores = loose.withColumn("score", F.lit(0.0)).drop("kind")
-        sure = seeds.groupBy("kind", "side", "word").agg(F.count("*").alias("sure"))
-        held = scores.groupBy("side", "word").agg(F.count("*").alias("loose"))
-        patterns = sure.where(F.col("sure") >= SUPPORT).join(staged(held, "held"), ["side", "word"], "left")
+        patterns = seeds
         if known is not None:
-            won = loose.join(known.select("instance", "kind", "score"), "instance").groupBy("kind", "side", "word").agg(F.sum("score").alias("won"))
-            patterns = patterns.join(staged(won, "won"), ["kind", "side", "word"], "left")
-        else:
-            patterns = patterns.withColumn("won", F.lit(0.0))
-        worth = (F.col("sure") + F.coalesce("won", F.lit(0.0))) / (F.col("sure") + F.coalesce("loose", F.lit(0)))
+            gained = loose.join(known, "instance").groupBy("kind", "side", "word").agg(
+                F.sum(F.col("seed").cast("double")).alias("sure"), F.lit(0.0).alias("base"), F.sum(F.when(F.col("seed"), 0.0).otherwise(F.col("score"))).alias("won")
+            )
+            patterns = seeds.unionByName(gained).groupBy("kind", "side", "word").agg(*(F.sum(c).alias(c) for c in ("sure", "base", "won")))
+        # pattern scores: distinct known instances count 1 each, other candidates what they scored so far
+        worth = (F.col("sure") + F.col("won")) / (F.col("base") + F.col("loose"))
+        patterns = patterns.where(F.col("sure") >= SUPPORT).join(held, ["side", "word"])
         patterns = staged(patterns.select("kind", "side", "word", worth.alias("worth")), "patterns")
-        # instance scores: mean over the two sides of the best pattern there; a side without one counts 0
-        best = loose.join(patterns, ["side", "word"]).groupBy("instance", "kind", "side").agg(F.max("worth").alias("worth"))
-        each = best.groupBy("instance", "kind").agg((F.sum("worth") / 2).alias("score"))
-        known = staged(each, "instances")
-    top = known.where(F.col("score") >= CONFIDENT).groupBy("instance").agg(F.max_by("kind", F.struct("score", "kind")).alias("kind"))
+        # instance scores: the best pattern on either side; a side that says nothing doesn't count against it
+        each = loose.join(patterns, ["side", "word"]).groupBy("instance", "kind").agg(F.max("worth").alias("score"))
+        before = None if known is None else known.where("seed")
+        each = staged(each if before is None else each.join(before.select("instance"), "instance", "left_anti"), "scores")
+        best = each.where(F.col("score") >= CONFIDENT).groupBy("instance").agg(F.max_by("kind", F.struct("score", "kind")).alias("kind"))
+        best = staged(best.withColumn("score", F.lit(1.0)).withColumn("seed", F.lit(True)), "new")
+        rest = each.join(best.select("instance"), "instance", "left_anti").withColumn("seed", F.lit(False))
+        now = best.unionByName(rest)
+        known = staged(now if before is None else now.unionByName(before), "instances")
+    top = known.where("seed").select("instance", "kind")
     return places.select("row", "start", "end", "instance").distinct().join(staged(top, "found"), "instance").select("row", "start", "end", "kind")
 
 

@@ -169,6 +169,20 @@ def test_pii_discovers_by_context(spark):
     assert pii.extracted(df.where("false")).collect() == []
 
 
+def test_pii_discovered_instances_induce_patterns(spark):
+    rows = [(i, f"ring phone: +1 (234) 555-{1000 + i}") for i in range(40)]
+    rows += [(100 + i, f"phone: (555) 888-70{10 + i} extension") for i in range(6)]  # first step, by the word before
+    rows += [(200, "or (555) 999-1234 extension"), (201, "(555) 999-4321 extension")]  # second step, by the word after
+    rows += [(300, "phone: (555) 777-1234"), (301, "phone: (555) 777-4321 any"), (302, "(555) 777-4321")]  # one side; no side, known from 301
+    rows += [(400, "size 100 200 300 metres"), (401, "(555) 666-0000")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r["doc_id"]: [(s["kind"], s["start"], s["end"]) for s in r["spans"]] for r in pii.extracted(df).collect()}
+    for i, text in rows[40:-2]:
+        at = text.index("(")
+        assert got[i] == [("phone", at, at + 14)], i
+    assert got[400] == got[401] == []
+
+
 def brute_tiles(a, b, least):
     used_a, used_b, out = set(), set(), []
     while True:
