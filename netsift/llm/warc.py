@@ -19,7 +19,8 @@ ordered capture histories.
 Edge cases: null html is an empty payload; a null url has an empty URL key
 and no target header, control characters of a URL become %20; a null
 page_id is an empty id and comes back null, always as a response; rows that
-repeat a page_id are recorded each and none refers to itself; an empty table
+repeat a page_id are recorded each, a revisit by its own payload only, and
+none refers to itself; an empty table
 gives no rows. Pages have no capture time; the date follows from the page_id.
 """
 
@@ -44,13 +45,13 @@ ORDER = ["url_key", "captured", "page_id", "archive", "offset"]
 
 
 def revisits(pages: DataFrame) -> DataFrame:
-    """page_id, refers_to of the pages whose payload another page records."""
+    """page_id, digest, refers_to of the payloads that another page records."""
     body = whole_text("html")
     seen = pages.where("page_id is not null").select("page_id", F.unhex(F.sha1(body)).alias("digest"), F.octet_length(body).alias("n"))
     seen = staged(seen.where(F.col("n") >= LEAST_BYTES).drop("n"), "payloads")
     kept = seen.groupBy("digest").agg(F.max("page_id").alias("refers_to"), F.min("page_id").alias("least"))
     kept = staged(kept.where("refers_to <> least").drop("least"), "kept")
-    return staged(seen.join(kept, "digest").where("page_id <> refers_to").select("page_id", "refers_to").distinct(), "revisits")
+    return staged(seen.join(kept, "digest").where("page_id <> refers_to").select("page_id", "digest", "refers_to").distinct(), "revisits")
 
 
 def write_archives(pages: DataFrame, path: str) -> None:
@@ -67,13 +68,14 @@ def write_archives(pages: DataFrame, path: str) -> None:
         F.concat(F.lit("WARC-Record-ID: <urn:page:"), number, F.lit(">")),
         F.concat(F.lit("WARC-Target-URI: "), safe),
         F.concat(F.lit("WARC-Date: "), date),
-        F.concat(F.lit("WARC-Payload-Digest: sha1:"), F.sha1(body)),
+        F.concat(F.lit("WARC-Payload-Digest: sha1:"), F.lower(F.hex("digest"))),
         F.concat(F.lit("WARC-Refers-To: <urn:page:"), F.col("refers_to").cast("string"), F.lit(">")),
         F.concat(F.lit("X-Payload-Length: "), F.octet_length(body).cast("string")),
         F.lit("Content-Type: text/html; charset=utf-8"),
         F.concat(F.lit("Content-Length: "), F.octet_length(content).cast("string")),
     )
-    records = pages.select("page_id", "url", "html").join(checked(revisits(pages)), "page_id", "left")
+    digested = pages.select("page_id", "url", "html", F.unhex(F.sha1(body)).alias("digest"))
+    records = digested.join(checked(revisits(pages), 64), ["page_id", "digest"], "left")
     records.select(F.concat(headers, F.lit(END), content).alias("value")).write.option("lineSep", END).option(
         "compression", "gzip"
     ).text(path)

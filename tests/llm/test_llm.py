@@ -242,6 +242,19 @@ def test_warc_round_trip(spark):
     assert warc.merged_index(warc.read_archives(spark, empty)).collect() == []
 
 
+def test_warc_repeated_page_ids_keep_their_own_payloads(spark):
+    a, b, c = ("a" * 1000, "b" * 1000, "c" * 1000)
+    pages = [(1, "u", a), (1, "u", b), (1, "u", c), (2, "v", a), (3, "w", b), (1, "x", a)]
+    from netsift.llm.common import shared_path
+
+    path = shared_path(spark, "test")
+    warc.write_archives(spark.createDataFrame(pages, "page_id long, url string, html string"), path)
+    got = [(r["page_id"], r["payload_digest"], r["record_type"], r["refers_to"]) for r in warc.read_archives(spark, path).collect()]
+    sha = lambda t: hashlib.sha1(t.encode()).hexdigest()
+    want = [(1, sha(a), "revisit", 2)] * 2 + [(1, sha(b), "revisit", 3), (1, sha(c), "response", None), (2, sha(a), "response", None), (3, sha(b), "response", None)]
+    assert sorted(got, key=str) == sorted(want, key=str)
+
+
 def test_loser_tree():
     rng = np.random.default_rng(3)
     for k in range(7):
