@@ -8,13 +8,15 @@ smoothed; Viterbi recovers the states, and each turn is rendered as
 ``<|role|>`` + text + ``<|end|>`` without its marker.
 
 A conversation may hold a third of all lines, so it is decoded in blocks of
-``BLOCK_TURNS`` positions: each block gives the best score from every state
-before it to every state at its end (a 6 x 6 matrix), the matrices of a
-conversation are chained, and each block is decoded again between the states
-that the chain fixed. The result equals Viterbi over the whole conversation.
+``BLOCK_TURNS`` positions, counted in order whatever the turn numbers are (a
+turn of more than ``PART_LINES`` lines takes several): each block gives the
+best score from every state before it to every state at its end (a 6 x 6
+matrix), the matrices of a conversation are chained in levels of ``FAN``, and
+each block is decoded again between the states that the chain fixed. The
+result equals Viterbi over the whole conversation.
 
 Edge cases: null text is an empty line; null positions come first; ties are
-ordered by text; rows that repeat wholly are one; a null role teaches
+ordered by text; rows that repeat wholly, in all columns, are one; a null role teaches
 nothing; a null conversation is a group of its own; without any labelled line
 roles follow from markers and uniform counts; an empty table gives no rows.
 """
@@ -23,7 +25,7 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from netsift.llm.common import groups_of, read, staged, whole_text
@@ -33,8 +35,11 @@ ROLES = ["system", "user", "assistant"]
 MARKERS = {"system": "system|instructions?", "user": "user|human|customer|q", "assistant": "assistant|ai|bot|agent|a"}
 MARKER = r"(?i)^\s*[\[<(*]*({})[\])*]*\s*[:>\-]\s"
 SHAPES, LENGTHS = 5, 8
+POSITION = ["conv_id", "turn", "at", "rest", "piece"]
 STATES = len(ROLES) * 2  # role, role going on
 BLOCK_TURNS = 64
+#: Lines that one position holds at most, and blocks that are chained in one group.
+PART_LINES, FAN = 1024, 64
 
 
 def marker_of(line: Column) -> Column:
@@ -59,14 +64,35 @@ def features(lines: DataFrame) -> DataFrame:
 
 
 def transcript_lines(turns: DataFrame) -> DataFrame:
-    """Lines of turns (conv_id, turn, role, text): conv_id, block, turn, at, part, role, begins, line."""
-    rows = turns.select("conv_id", "turn", F.lower(F.col("role").cast("string")).alias("role"), whole_text().alias("text")).distinct()
-    block = F.coalesce(F.floor(F.col("turn") / BLOCK_TURNS), F.lit(-1))
+    """Lines of turns (conv_id, turn, role, text): conv_id, turn, at, rest, piece, part, role, begins, line."""
+    rest = F.sha2(F.to_json(F.struct("role", *(c for c in turns.columns if c not in ("conv_id", "turn", "role", "text")))), 256)
+    rows = turns.select("conv_id", "turn", "role", whole_text().alias("text"), rest.alias("rest")).distinct()
+    rows = rows.withColumn("role", F.lower(F.col("role").cast("string")))
     at = F.xxhash64("role", "text")
-    parts = rows.select("conv_id", block.alias("block"), "turn", at.alias("at"), "role", F.posexplode(F.split("text", "\n")).alias("part", "line"))
+    parts = rows.select("conv_id", "turn", at.alias("at"), F.xxhash64("rest").alias("rest"), "role", F.posexplode(F.split("text", "\n")).alias("part", "line"))
+    parts = parts.withColumn("piece", F.floor(F.col("part") / PART_LINES))
     return features(parts.withColumn("begins", F.col("part") == 0))
 
 
+def same(a: DataFrame, b: DataFrame, keys: list[str]) -> DataFrame:
+    """``a`` joined with ``b`` on keys that may be null."""
+    other = b.withColumnsRenamed({k: f"{k}_" for k in keys})
+    on = [F.col(k).eqNullSafe(F.col(f"{k}_")) for k in keys]
+    return a.join(other, on).drop(*(f"{k}_" for k in keys))
+
+
+def blocks_of(lines: DataFrame) -> DataFrame:
+    """The block of each position: ``POSITION`` and block, by the rank of the position in its conversation."""
+    order = [F.col(c).asc_nulls_first() for c in POSITION]
+    heads = lines.where(F.col("part") % PART_LINES == 0).select(*POSITION).repartitionByRange(*order).sortWithinPartitions(*order)
+    heads = staged(heads.withColumn("spot", F.monotonically_increasing_id()).withColumn("run", F.shiftright("spot", 33)), "heads")
+    runs = heads.groupBy("conv_id", "run").agg(F.min("spot").alias("first"), F.count("*").alias("n"))  # a row per partition of a conversation
+    before = F.sum("n").over(Window.partitionBy("conv_id").orderBy("run")) - F.col("n")
+    runs = staged(runs.select("conv_id", "run", (F.col("first") - before).alias("zero")), "runs")
+    block = F.floor((F.col("spot") - F.col("zero")) / BLOCK_TURNS)
+    return staged(same(heads, runs, ["conv_id", "run"]).select(*POSITION, block.alias("block")), "blocks")
+
+
 def fit(lines: DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Log start, transition and emission tables from labelled lines."""
     codes = (len(ROLES) + 1) * SHAPES * LENGTHS
@@ -80,7 +106,7 @@ def fit(lines: DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     for r in known.groupBy("state", "seen").agg(F.count("*").alias("n")).collect():
         show[r["state"], r["seen"]] += r["n"]
     # a turn's role and the next one's, and lines within turns: reduced per turn, then summed
-    turn = known.groupBy("conv_id", "turn", "at").agg(F.min("state").alias("role"), F.count("*").alias("n"))
+    turn = known.groupBy("conv_id", "turn", "at", "rest").agg(F.min("state").alias("role"), F.count("*").alias("n"))
     inside = turn.groupBy("role").agg(F.count("*").alias("n"), F.sum((F.col("n") > 1).cast("long")).alias("longer"), F.sum(F.col("n") - 1).alias("more"))
     single = known.groupBy("conv_id", "turn").agg(F.min("state").alias("role"))
     after = single.select("conv_id", (F.col("turn") + 1).alias("turn"), F.col("role").alias("before"))
@@ -120,19 +146,57 @@ def viterbi(seen: np.ndarray, first: np.ndarray, last: int | None, move: np.ndar
     return np.array(states[::-1])
 
 
-def chained(matrices: list[np.ndarray]) -> list[int]:
-    """The state at the end of each block on the best path through all blocks."""
-    best, back = matrices[0][STATES], []
+def chained(matrices: list[np.ndarray], before: int = STATES, last: int | None = None) -> list[int]:
+    """The state at the end of each block on the best path through all blocks, from ``before`` to ``last`` if fixed."""
+    best, back = matrices[0][before], []
     for m in matrices[1:]:
         x = best[:, None] + m[:STATES]
         back.append(x.argmax(0))
         best = x.max(0)
-    ends = [int(best.argmax())]
+    ends = [int(best.argmax()) if last is None else last]
     for b in reversed(back):
         ends.append(int(b[ends[-1]]))
     return ends[::-1]
 
 
+def chains_of(scores: DataFrame) -> DataFrame:
+    """conv_id, block, before (-1: no state), last of the blocks (conv_id, block, scores), chained in levels."""
+    conv = scores.schema["conv_id"].dataType.simpleString()
+    group = ["conv_id", "parent"]
+    matrix = lambda x: np.asarray(x).reshape(STATES + 1, STATES)
+
+    def combine(batches):
+        for g in groups_of(batches, group):
+            m = matrix(g["scores"].iloc[0])
+            for x in g["scores"].iloc[1:]:
+                m = (m[:, :, None] + matrix(x)[None, :STATES]).max(1)
+            yield pd.DataFrame({"conv_id": g["conv_id"].iloc[:1], "block": g["parent"].iloc[:1], "scores": [m.ravel()]})
+
+    def fix(batches):
+        for g in groups_of(batches, group):
+            before, last = int(g["first"].iloc[0]), int(g["final"].iloc[0])
+            ends = chained([matrix(x) for x in g["scores"]], STATES if before < 0 else before, None if last < 0 else last)
+            yield g[["conv_id", "block"]].assign(before=[before, *ends[:-1]], last=ends)
+
+    def together(df):
+        return df.repartition(*group).sortWithinPartitions(*(F.col(c).asc_nulls_first() for c in (*group, "block")))
+
+    levels = []
+    while True:
+        levels.append(staged(scores.withColumn("parent", F.floor(F.col("block") / FAN)), "level"))
+        if (levels[-1].agg(F.max("parent")).first()[0] or 0) == 0:
+            break
+        scores = together(levels[-1]).mapInPandas(combine, f"conv_id {conv}, block bigint, scores array<double>")
+    ends = None
+    for level in reversed(levels):
+        if ends is None:
+            level = level.withColumn("first", F.lit(-1)).withColumn("final", F.lit(-1))
+        else:
+            level = same(level, ends.select("conv_id", F.col("block").alias("parent"), F.col("before").alias("first"), F.col("last").alias("final")), group)
+        ends = staged(together(level).mapInPandas(fix, f"conv_id {conv}, block bigint, before int, last int"), "chains")
+    return ends
+
+
 def rendered(lines: list[str], role: str) -> str:
     """Canonical form of one turn; the speaker marker of its first line goes."""
     import re
@@ -146,7 +210,8 @@ def format_turns(turns: DataFrame, model: tuple | None = None) -> DataFrame:
     lines = staged(transcript_lines(turns), "lines")
     start, move, show = model or fit(lines)
     conv = turns.schema["conv_id"].dataType.simpleString()
-    order = [F.col(c).asc_nulls_first() for c in ("conv_id", "block", "turn", "at", "part")]
+    order = [F.col(c).asc_nulls_first() for c in ("conv_id", "block", "turn", "at", "rest", "part")]
+    blocks = blocks_of(lines)
     keys = ["conv_id", "block"]
 
     def matrices(batches):
@@ -154,11 +219,6 @@ def format_turns(turns: DataFrame, model: tuple | None = None) -> DataFrame:
             m = block_matrix(g["seen"].to_numpy(), start, move, show)
             yield g[keys].iloc[:1].assign(scores=[m.ravel()])
 
-    def chain(batches):
-        for g in groups_of(batches, ["conv_id"]):
-            ends = chained([np.asarray(x).reshape(STATES + 1, STATES) for x in g["scores"]])
-            yield g[keys].assign(before=[-1, *ends[:-1]], last=ends)
-
     def decode(batches):
         for g in groups_of(batches, keys):
             before = int(g["before"].iloc[0])
@@ -171,14 +231,13 @@ def format_turns(turns: DataFrame, model: tuple | None = None) -> DataFrame:
             p = pd.DataFrame(out, columns=["turn_no", "role", "goes_on", "n_lines", "rendered"])
             yield g[keys].iloc[:1].merge(p, how="cross")  # one row beside the turns of its block
 
-    by_block = lines.select(*keys, "turn", "at", "part", "seen").repartition(*keys).sortWithinPartitions(*order)
+    columns = ["turn", "at", "rest", "part", "seen"]
+    by_block = same(lines.select(*POSITION, "part", "seen"), blocks, POSITION).select(*keys, *columns)
+    by_block = by_block.repartition(*keys).sortWithinPartitions(*order)
     scores = by_block.select(*keys, "seen").mapInPandas(matrices, f"conv_id {conv}, block bigint, scores array<double>")
-    chains = scores.repartition("conv_id").sortWithinPartitions(*order[:2]).mapInPandas(
-        chain, f"conv_id {conv}, block bigint, before int, last int"
-    )
-    chains = staged(chains, "chains").withColumnsRenamed({"conv_id": "c", "block": "b"})
-    both = lines.join(chains, F.col("conv_id").eqNullSafe(F.col("c")) & (F.col("block") == F.col("b"))).drop("c", "b")
-    both = both.select(*keys, "turn", "at", "part", "seen", "line", "before", "last").repartition(*keys).sortWithinPartitions(*order)
+    fixed = staged(same(blocks, chains_of(scores), keys), "fixed")
+    both = same(lines.select(*POSITION, "part", "seen", "line"), fixed, POSITION).select(*keys, *columns, "line", "before", "last")
+    both = both.repartition(*keys).sortWithinPartitions(*order)
     return both.mapInPandas(
         decode, f"conv_id {conv}, block bigint, turn_no int, role string, goes_on boolean, n_lines int, rendered string"
     )
@@ -192,7 +251,7 @@ def as_transcripts(turns: DataFrame) -> DataFrame:
     for role, marks in forms.items():
         for k, m in enumerate(marks):
             mark = F.when((F.col("role") == role) & (draw == k), m).otherwise(mark)
-    return turns.select("conv_id", "turn", "role", F.concat(mark, whole_text()).alias("text"))
+    return turns.withColumn("text", F.concat(mark, whole_text()))
 
 
 def op9_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -344,6 +344,27 @@ def test_chat_equals_whole_viterbi(spark, monkeypatch, none):
     assert chat.format_turns(empty).collect() == []
 
 
+def test_chat_blocks_are_bounded_and_rows_kept(spark, monkeypatch):
+    rows = [(1, None, "user", f"null turn {i}", 0) for i in range(20)] + [(1, 5, "assistant", f"one turn {i}\nmore", 0) for i in range(20)]
+    rows += [(1, 6, "user", "\n".join(f"long {i}" for i in range(23)), 0), (2, 0, "user", "Hi", 0), (2, 0, "user", "Hi", 1), (2, 0, "User", "Hi", 1), (None, None, None, "x", 0)]
+    rows += [(2, 0, "user", "Hi", 1)]  # repeats wholly
+    df = chat.as_transcripts(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string, source int"))
+    model = chat.fit(chat.transcript_lines(df))
+    roles = {}
+    for turns, part, fan in ((4, 5, 2), (1000, 1000, 64)):
+        monkeypatch.setattr(chat, "BLOCK_TURNS", turns)
+        monkeypatch.setattr(chat, "PART_LINES", part)
+        monkeypatch.setattr(chat, "FAN", fan)
+        out = chat.format_turns(df, model).orderBy("conv_id", "block", "turn_no").collect()
+        sizes = collections.Counter()
+        for r in out:
+            sizes[r["conv_id"], r["block"]] += r["n_lines"]
+        assert max(sizes.values()) <= turns * part
+        roles[turns] = [(r["conv_id"], r["role"]) for r in out for _ in range(r["n_lines"])]
+    assert roles[4] == roles[1000]
+    assert collections.Counter(c for c, _ in roles[4]) == {1: 20 + 40 + 23, 2: 3, None: 1}
+
+
 def brute_kneser_ney(trusted, text):
     """The same model by dictionaries."""
     levels = {4: collections.Counter(g for t in trusted for g in quality.grams(t).tolist())}
