@@ -7,8 +7,8 @@ counts the grams (combined per batch, summed by Spark), with the trusted
 share beside. Continuation counts, discounts and back-off weights are
 aggregations of the gram table, and joins of its shards give the probability
 of every gram that any document holds. Shards of that table, each within
-``SHARD_BYTES``, meet the documents by broadcast, one pass per shard, so the
-texts are never shuffled and a larger table only means more shards; the
+``SHARD_BYTES``, meet the documents by broadcast through the driver, one staged
+pass per shard (the broadcast of a shard goes before the next), so the texts are never shuffled and a larger table only means more shards; the
 partial sums add up, by id, language and digest of the text, to each row's
 perplexity.
 
@@ -133,7 +133,9 @@ def partial_sums(docs: DataFrame, shard: pd.DataFrame) -> DataFrame:
             yield d.drop(columns="text").assign(units=units, logp=sums)
 
     fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in docs.drop("text").schema)
-    return docs.mapInPandas(rows, f"{fields}, units bigint, logp double")
+    out = staged(docs.mapInPandas(rows, f"{fields}, units bigint, logp double"), "sums")
+    shared.destroy()  # only one shard is held at a time
+    return out
 
 
 def scored(docs: DataFrame, labels: DataFrame) -> DataFrame:

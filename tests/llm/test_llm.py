@@ -8,6 +8,7 @@ import zlib
 
 import numpy as np
 import pytest
+from pyspark import Broadcast
 from pyspark.sql import functions as F
 
 from netsift.llm import chat, decontaminate, exact_dedup, line_dedup, ngram_join, packing, pii, quality, toxicity, warc
@@ -426,6 +427,17 @@ def test_quality_scores_rows_with_null_and_repeated_ids_by_their_own_text(spark,
     assert {r[3] for r in got} == {True, False}
 
 
+def test_quality_holds_one_shard_at_a_time(spark, monkeypatch):
+    monkeypatch.setattr(quality, "SHARD_BYTES", 256)
+    held, most = [], []
+    share, drop = type(spark.sparkContext).broadcast, Broadcast.destroy
+    monkeypatch.setattr(type(spark.sparkContext), "broadcast", lambda self, x: held.append(b := share(self, x)) or most.append(len(held)) or b)
+    monkeypatch.setattr(Broadcast, "destroy", lambda self, *a, **k: held.remove(self) or drop(self, *a, **k))
+    df = spark.createDataFrame([(i, f"the cat {i} sat on the mat of the dog", "en") for i in range(3)], "doc_id long, text string, lang string")
+    got = quality.judged(df, spark.createDataFrame([(0, 1), (1, 1)], "doc_id long, quality int")).collect()
+    assert len(got) == 3 and len(most) > 1 and max(most) == 1 and held == []
+
+
 def test_pipeline_stages(spark, sf_small):
     import corpus_pipeline as c
 
