@@ -6,11 +6,13 @@ from netsift.llm import (
     chat,
     decontaminate,
     exact_dedup,
+    hard_negatives,
     line_dedup,
     ngram_join,
     packing,
     pii,
     quality,
+    token_counts,
     toxicity,
     warc,
 )
@@ -26,5 +28,7 @@ QUERIES = {
     "op8_toxicity": toxicity.op8_toxicity,
     "op9_chat_format": chat.op9_chat_format,
     "op10_quality": quality.op10_quality,
+    "op12_hard_negatives": hard_negatives.op12_hard_negatives,
+    "op13_token_counts": token_counts.op13_token_counts,
 }
-ORACLES = {"op2_exact_dedup": exact_dedup.OP2_SQL}
+ORACLES = {"op2_exact_dedup": exact_dedup.OP2_SQL, "op12_hard_negatives": hard_negatives.OP12_SQL}
