@@ -12,6 +12,7 @@ from netsift.llm import (
     packing,
     pii,
     quality,
+    spelling,
     token_counts,
     toxicity,
     warc,
@@ -28,6 +29,7 @@ QUERIES = {
     "op8_toxicity": toxicity.op8_toxicity,
     "op9_chat_format": chat.op9_chat_format,
     "op10_quality": quality.op10_quality,
+    "op11_spelling": spelling.op11_spelling,
     "op12_hard_negatives": hard_negatives.op12_hard_negatives,
     "op13_token_counts": token_counts.op13_token_counts,
 }
