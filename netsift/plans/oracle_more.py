@@ -120,21 +120,25 @@ def _bucket(x: str, splits: str) -> str:
     )
 
 
-_q(
-    "quantile_bins",
-    "SELECT key, "
-    + ", ".join(f"{_bucket(c, f's_{c}')} AS {c}_bin" for c in F12_NUMERIC)
-    + " FROM cf, ("
-    + "SELECT "
-    + ", ".join(
-        f"(SELECT list_concat([-'inf'::DOUBLE], list_sort(list_distinct(q[2:{len(FULL8) - 1}])), ['inf'::DOUBLE]) "
-        f"FROM qs WHERE feature = '{c}') AS s_{c}"
-        for c in F12_NUMERIC
+QUANTILE_BINS_CTES = (CLEAN_CTE, _quantiles_cte("qs", "cf", F12_NUMERIC, FULL8))
+
+
+def quantile_bins_body(*extra: str) -> str:
+    return (
+        f"SELECT {', '.join(['key', *extra])}, "
+        + ", ".join(f"{_bucket(c, f's_{c}')} AS {c}_bin" for c in F12_NUMERIC)
+        + " FROM cf, ("
+        + "SELECT "
+        + ", ".join(
+            f"(SELECT list_concat([-'inf'::DOUBLE], list_sort(list_distinct(q[2:{len(FULL8) - 1}])), ['inf'::DOUBLE]) "
+            f"FROM qs WHERE feature = '{c}') AS s_{c}"
+            for c in F12_NUMERIC
+        )
+        + ") sp"
     )
-    + ") sp",
-    CLEAN_CTE,
-    _quantiles_cte("qs", "cf", F12_NUMERIC, FULL8),
-)
+
+
+_q("quantile_bins", quantile_bins_body(), *QUANTILE_BINS_CTES)
 
 _q(
     "fixed_edge_bins",

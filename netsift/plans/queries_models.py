@@ -2,14 +2,22 @@
 
 from __future__ import annotations
 
+import uuid
+
+from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from .. import config as C
-from ..operators import balance, clean, labels, metrics
+from ..operators import balance, clean, features, forest, labels, metrics
+from ..session import cut_lineage, scratch_path
 from ..sources import tables
 from . import training
 from .queries import register
 
+#: Levels of the tree that SQL grows as well.
+TREE_DEPTH = 4
+
 
 @register("rf_multiclass")
 def rf_multiclass(spark, sf):
@@ -62,3 +70,31 @@ def scored_prediction_int(spark, sf):
     model, scored, _ = training.train_eval_f12(spark, sf)
     scored = training.add_predicted_label(model, scored)
     return scored.select("key", F.col("prediction").cast("int").alias("prediction"), "predicted_label", C.LABEL_COL)
+
+
+@register("forest_scored")
+def forest_scored(spark, sf):
+    """Every held-out record scored by the forest's node table (built-in functions only)."""
+    model, scored, _ = training.train_eval_f12(spark, sf)
+    nodes = forest.node_table(spark, model, scratch_path(spark, f"forest-{uuid.uuid4().hex[:12]}"))
+    rows = scored.select("key", vector_to_array("features").alias("features"))
+    named = training.add_predicted_label(model, forest.score(rows, nodes, model))
+    return named.select("key", F.col("prediction").cast("int").alias("prediction"), "predicted_label")
+
+
+@register("tree_scored")
+def tree_scored(spark, sf):
+    """L1/L5 with an SQL twin: one exact tree on the quantile bins, grown on the training part, scores every record."""
+    df = clean.drop_null_subset(
+        clean.cast_columns(tables.conn_records(spark, sf).select("key", *C.F12_FEATURES, C.LABEL_COL)), [*C.F12_FEATURES, C.LABEL_COL]
+    )
+    numeric = [c for c in C.F12_FEATURES if c not in C.CATEGORICAL_COLS]
+    bins = [f"{c}_bin" for c in numeric]
+    binned = features.quantile_bins(df, numeric, C.QUANTILE_BUCKETS_F12, relative_error=0.0)
+    binned = cut_lineage(binned.select("key", labels.binary_label_a().alias("label_bin"), *bins))
+    train, _ = balance.split_frames(binned, C.EVAL_TRAIN_FRACTION)
+    assembler = VectorAssembler(inputCols=bins, outputCol="features")
+    model = forest.exact_tree(assembler.transform(train), "features", "label_bin", TREE_DEPTH)
+    nodes = forest.node_table(spark, model, scratch_path(spark, f"tree-{uuid.uuid4().hex[:12]}"))
+    out = forest.score(binned.select("key", F.array(*bins).alias("features")), nodes, model)
+    return out.select("key", "prediction", F.col("votes")[1].alias("benign_share"))
