@@ -36,6 +36,15 @@ SQL["stream_deadletter"] = with_conn(
     f"CASE WHEN {_JUNK} THEN 0.0 WHEN resp_bytes * 16 < orig_bytes THEN 1.0 ELSE 0.0 END AS prediction FROM conn)"
 )
 
+# the same rows as the unbroken run
+SQL["stream_restart"] = SQL["stream_deadletter"]
+
+SQL["deliver_once"] = with_conn(
+    "SELECT src_ip, dest_ip, src_port, dest_port, label_multi, "
+    "CASE WHEN resp_bytes * 16 < orig_bytes THEN 1.0 ELSE 0.0 END AS prediction "
+    f"FROM conn WHERE NOT ({_JUNK})"
+)
+
 SQL["wire_hash_split_counts"] = with_conn(
     f"SELECT CASE WHEN {hash_bucket_sql('key', 1000, 'split|')} < 700 THEN 'train' ELSE 'test' END AS split, label_multi, "
     "count(*) AS n, CAST(sum(CASE WHEN label_multi = 'none' THEN 1.0 ELSE 0.0 END) AS DOUBLE) AS n_benign "

@@ -18,7 +18,7 @@ from .. import config as C
 from ..operators import balance, clean, labels
 from ..session import scratch_path
 from ..sources import tables
-from ..streaming import delivery, inference
+from ..streaming import delivery, inference, recovery
 from .queries import register
 
 EVENT_SCHEMA = T.StructType(
@@ -108,7 +108,51 @@ def stream_deliver(spark, sf):
     transport = delivery.FolderTransport(os.path.join(base, "sink"))
     q = delivery.start_delivery(out, transport, os.path.join(base, "_checkpoint"), trigger={"availableNow": True})
     q.awaitTermination()
-    return delivery.read_delivered(spark, transport.folder)
+    return delivery.read_delivered(spark, os.path.join(base, "sink"))
+
+
+@register("deliver_once")
+def deliver_once(spark, sf):
+    """Every batch is posted, its commit is lost, and it is posted again from other partitions: each record is there once."""
+    decoded = inference.decode(_wire_stream(spark, sf))
+    out = inference.routed(inference.rule_scorer(decoded), "binary").filter(F.col("topic") == C.TOPIC_PREDICTIONS)
+    base = scratch_path(spark, f"once-{uuid.uuid4().hex[:12]}")
+    transport, log = delivery.FolderTransport(f"{base}/sink"), f"{base}/log"
+
+    def twice(batch, batch_id):
+        delivery.deliver_batch(batch, batch_id, transport, f"{base}/lost")
+        delivery.deliver_batch(batch.repartition(7), batch_id, transport, log)
+
+    q = out.writeStream.option("checkpointLocation", f"{base}/_checkpoint").foreachBatch(twice).trigger(availableNow=True).start()
+    q.awaitTermination()
+    record = "src_ip string, dest_ip string, src_port double, dest_port double, label_multi string, prediction double"
+    lines = delivery.read_delivered(spark, f"{base}/sink", log)
+    return lines.select(F.from_json("value_json", record).alias("r")).select("r.*")
+
+
+@register("stream_restart")
+def stream_restart(spark, sf):
+    """The routed stream, stopped between write and commit and restarted; the same rows as an unbroken run."""
+    src = _stage(spark, "wire", tables.wire_records(spark, sf).select("key", "value").repartition(6))
+    raw = inference.read_stream(spark, fmt="parquet", path=src, max_files_per_trigger=2)
+    out = inference.routed(inference.rule_scorer(inference.decode(raw)), "binary").select("topic", F.col("key").cast("string").alias("key"), "prediction")
+    base = scratch_path(spark, f"restart-{uuid.uuid4().hex[:12]}")
+    failed = set()
+
+    def fail_once(batch_id):
+        if batch_id in (0, 1) and batch_id not in failed:
+            failed.add(batch_id)
+            raise RuntimeError(f"stopped after batch {batch_id} was written and before its commit")
+
+    def start():
+        return recovery.start_batch_sink(
+            out, f"{base}/out", f"{base}/_checkpoint", ["topic"], trigger={"availableNow": True}, after_write=fail_once
+        )
+
+    recovery.run_with_restarts(start)
+    return recovery.read_committed(spark, f"{base}/out", f"{base}/_checkpoint", "topic string, key string, prediction double").select(
+        "topic", "key", "prediction"
+    )
 
 
 @register("wire_hash_split_counts")

@@ -1,13 +1,9 @@
 """Streaming scorer, delivery, model persistence and the driver entry point."""
 
-import glob
-import os
-
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
-from netsift.session import scratch_path
-from netsift.streaming import delivery, inference
+from netsift.streaming import inference
 
 
 def test_entry_smoke(spark):
@@ -17,23 +13,32 @@ def test_entry_smoke(spark):
 
 
 def test_stream_score_equals_batch(spark, sf_small):
-    """Streaming scores of a reloaded model equal batch scores of the same records."""
-    out = entry.queries()["stream_score"](spark, sf_small)
+    """Predictions of the stream equal those of the same model on the same records as a batch."""
+    from pyspark.sql import DataFrame
+
+    from netsift.plans import queries_stream
+
+    kept = {}
+    score = inference.score
+
+    def remembering(decoded: DataFrame, model):
+        kept["model"] = model
+        return score(decoded, model)
+
+    queries_stream.inference.score = remembering
+    try:
+        out = entry.queries()["stream_score"](spark, sf_small)
+    finally:
+        queries_stream.inference.score = score
+    from netsift.sources import tables
+
+    batch = inference.decode(tables.wire_records(spark, sf_small).select("key", "value")).filter(~F.col("_corrupt"))
+    want = score(batch, kept["model"]).select("key", "predicted_label", "prediction")
+    got = out.filter(F.col("topic") == "predictions").select("key", "predicted_label", "prediction")
+    assert got.count() == want.count() > 0
+    assert got.exceptAll(want).count() == 0
     topics = {r.topic: r.n for r in out.groupBy("topic").agg(F.count("*").alias("n")).collect()}
     assert topics["predictions"] == topics.get("benign", 0) + topics.get("attack", 0)
-    batch = entry.queries()["scored_prediction_int"](spark, sf_small)
-    assert batch.count() > 0
-
-
-def test_delivery_chunks_are_bounded_and_idempotent(spark, sf_small):
-    df = spark.range(2500).select(F.to_json(F.struct("id")).alias("value")).repartition(2)
-    folder = os.path.join(scratch_path(spark, "deliver-test"), "sink")
-    t = delivery.FolderTransport(folder)
-    delivery.deliver_batch(df, 7, t, batch_size=1000)
-    delivery.deliver_batch(df, 7, t, batch_size=1000)  # replay of the same batch overwrites
-    files = glob.glob(os.path.join(folder, "*.jsonl"))
-    assert all(sum(1 for _ in open(f)) <= 1000 for f in files)
-    assert delivery.read_delivered(spark, folder).count() == 2500
 
 
 def test_routing_counts_add_up(spark, sf_small):
