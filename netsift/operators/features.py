@@ -27,7 +27,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..config import NOMINAL_SHARE, NUMERIC_TRIM, QUANTILE_RELATIVE_ERROR
-from .util import long_form
+from ..session import cut_lineage
+from .util import long_form, ranked
 
 INF = float("inf")
 #: Ranges into which the distinct values of a column are cut for exact ranks.
@@ -52,7 +53,8 @@ def quantile_table(
         both = F.array(*[F.struct(F.lit(c).alias("feature"), F.col(f"`{c}`").alias("q")) for c in cols])
         return sketches.select(F.inline(both)).filter("q is not null")
     long = long_form(df, cols).filter(F.col("value").isNotNull() & ~F.isnan("value"))
-    counts = long.groupBy("feature", "value").agg(F.count(F.lit(1)).alias("n"))
+    # cuts, range sums and ranks read the counts: stage them once
+    counts = cut_lineage(long.groupBy("feature", "value").agg(F.count(F.lit(1)).alias("n")))
     return exact_quantiles(counts, probs)
 
 
@@ -234,20 +236,9 @@ def nominal_dictionary(df: DataFrame, cols: Sequence[str], share: float = NOMINA
 
 def nominal_from_counts(counts: DataFrame, share: float = NOMINAL_SHARE) -> DataFrame:
     """Share rule over ``(feature, value, n)`` counts (see :func:`nominal_dictionary`)."""
-    order = Window.partitionBy("feature").orderBy(F.col("n").desc(), F.col("value").asc())
-    run = order.rowsBetween(Window.unboundedPreceding, 0)
-    ranked = counts.select(
-        "feature",
-        "value",
-        (F.row_number().over(order) - 1).alias("rank"),
-        (F.sum("n").over(run) - F.col("n")).alias("before"),
-        F.sum("n").over(Window.partitionBy("feature")).alias("tot"),
-    )
-    kept = ranked.filter(F.col("before") / F.col("tot") < F.lit(float(share)))
-    per = Window.partitionBy("feature")
-    return kept.select(
-        "feature", "value", F.col("rank").cast("int").alias("idx"), F.count(F.lit(1)).over(per).cast("int").alias("other_idx")
-    )
+    kept = cut_lineage(ranked(counts, ["feature"]).filter(F.col("before") / F.col("tot") < F.lit(float(share))))
+    sizes = kept.groupBy("feature").agg(F.count("*").cast("int").alias("size"))
+    return kept.select("feature", "value", F.col("rank").cast("int").alias("idx"), _edges_map(sizes, "size")[F.col("feature")].alias("other_idx"))
 
 
 def nominal_bins(
@@ -259,10 +250,10 @@ def nominal_bins(
 ) -> DataFrame:
     """Add ``<col>_bin`` nominal indexes with the tail folded into one index.
 
-    The dictionary (kept values only) is cached, as one join per column reads
-    it; whether a join broadcasts it is left to Spark's size threshold.
+    The dictionary (kept values only, staged when it is fitted) is read by one join
+    per column; whether a join broadcasts it is left to Spark's size threshold.
     """
-    dictionary = (dictionary if dictionary is not None else nominal_dictionary(df, cols, share)).cache()
+    dictionary = dictionary if dictionary is not None else nominal_dictionary(df, cols, share)
     out = df
     for c in cols:
         d = dictionary.filter(F.col("feature") == c).select(
@@ -336,7 +327,7 @@ def full_binning(
     )
     probs = [numeric_trim, 1.0 - numeric_trim]
     if relative_error == 0:
-        counts = value_counts(df, numeric_cols, nominal_cols).cache()
+        counts = cut_lineage(value_counts(df, numeric_cols, nominal_cols))
         num = counts.filter(F.col("d").isNotNull()).select("feature", F.col("d").alias("value"), "n")
         nom = counts.filter(F.col("s").isNotNull()).select("feature", F.col("s").alias("value"), "n")
         qt, dictionary = exact_quantiles(num, probs), nominal_from_counts(nom, nominal_share)

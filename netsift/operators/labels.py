@@ -7,10 +7,11 @@ total order (count descending, then value ascending).
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..config import BENIGN_LABEL, LABEL_COL
+from .util import ranked
 
 
 def binary_label_a(label: Column | str = LABEL_COL, benign: str = BENIGN_LABEL) -> Column:
@@ -55,16 +56,13 @@ def top_attack_labels(
 def frequency_index(df: DataFrame, col: str, idx_col: str | None = None, count_col: str = "n") -> DataFrame:
     """Dictionary ``(value, index, n)``: index 0 = most frequent, ties alphabetical.
 
-    Nulls are not indexed (they go to the ``keep`` bucket). The window runs
-    over the aggregated distinct values of a categorical column, a set the
-    classifier bounds anyway (``maxBins``).
+    Nulls are not indexed (they go to the ``keep`` bucket). Values are ranked over
+    ranges, so a column may have any number of them.
     """
     idx_col = idx_col or f"{col}_idx"
-    counts = df.filter(F.col(col).isNotNull()).groupBy(col).agg(F.count(F.lit(1)).alias(count_col))
-    w = Window.orderBy(F.col(count_col).desc(), F.col(col).asc())
-    return counts.select(
-        col, (F.row_number().over(w) - 1).cast("double").alias(idx_col), count_col
-    )
+    counts = df.filter(F.col(col).isNotNull()).groupBy(F.col(col).alias("value")).agg(F.count(F.lit(1)).alias("n"))
+    places = ranked(counts)
+    return places.select(F.col("value").alias(col), F.col("rank").cast("double").alias(idx_col), F.col("n").alias(count_col))
 
 
 def apply_index(
