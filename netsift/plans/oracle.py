@@ -192,7 +192,7 @@ _q(
 
 
 def oracle_sql() -> dict[str, str]:
-    from . import oracle_models, oracle_more, oracle_stream  # noqa: F401
+    from . import oracle_models, oracle_more, oracle_runs, oracle_stream  # noqa: F401
 
     return dict(SQL)
 

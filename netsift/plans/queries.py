@@ -195,6 +195,6 @@ def row_counts(spark, sf):
 
 def queries() -> dict[str, Query]:
     # import side modules so their @register calls run
-    from . import queries_models, queries_more, queries_stream  # noqa: F401
+    from . import queries_models, queries_more, queries_runs, queries_stream  # noqa: F401
 
     return dict(REGISTRY)
