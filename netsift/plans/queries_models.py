@@ -29,11 +29,11 @@ def rf_multiclass(spark, sf):
 def rf_binary(spark, sf):
     """16-attribute binary forest (20 trees, depth 10, 32 quantile bins), 0.8 hash split."""
     conn = clean.cast_columns(tables.conn_records(spark, sf)).withColumn("label_bin", labels.binary_label_a())
+    conn = cut_lineage(conn.select("key", *C.PRESETS["f16"], C.LABEL_COL, "label_bin"))
     train, test = balance.split_frames(conn, C.TRAIN_FRACTION)
     train = clean.drop_null_subset(train, [*C.PRESETS["f16"], C.LABEL_COL])
-    arity = training.category_arity(train, C.CATEGORICAL_COLS)
-    pipeline, _, label_col = training.build_pipeline_f16("binary", arity=arity)
-    model = pipeline.fit(train)
+    pipeline, _, label_col = training.build_pipeline_f16("binary")
+    model = training.fit_staged(pipeline, train)
     scored = model.transform(test)
     return metrics.summary(metrics.confusion_counts(scored, label_col, "prediction"), 1.0)
 

@@ -90,11 +90,10 @@ def stream_score(spark, sf):
     model.write().overwrite().save(path)
     loaded = PipelineModel.load(path)
     decoded = inference.decode(_wire_stream(spark, sf))
-    scored = inference.score(decoded.filter(~F.col("_corrupt")), loaded)
-    projected = inference.output_projection(scored, extra=["key", "_corrupt"])
-    # undecodable records can't be scored; they go on to the dead letters
-    corrupt = decoded.filter(F.col("_corrupt")).select("key", "_corrupt")
-    out = inference.routed(projected.unionByName(corrupt, allowMissingColumns=True), "by_name")
+    # undecodable records pass the scorer with empty fields; they go on to the dead letters without a prediction
+    scored = inference.score(decoded, loaded)
+    scored = scored.withColumns({c: F.when(~F.col("_corrupt"), F.col(c)) for c in ("prediction", "predicted_label")})
+    out = inference.routed(inference.output_projection(scored, extra=["key", "_corrupt"]), "by_name")
     res = inference.run_to_table(out, "stream-score")
     return res.select("topic", F.col("key").cast("string").alias("key"), "predicted_label", "prediction")
 

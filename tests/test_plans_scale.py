@@ -1,5 +1,6 @@
 """Plans that hold at scale, and edge values the tables lack."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from netsift import config as C
@@ -67,10 +68,10 @@ def test_forest_holds_wide_categories(spark):
         *[(F.col("id") % 7).cast("double").alias(c) for c in (*C.NUMERIC_COLS, *C.PORT_COLS, *C.BOOLEAN_COLS)],
     )
     df = df.withColumn("label_multi", F.when(F.col("src_port") > 3, "T1").otherwise("none"))
-    arity = training.category_arity(df, C.CATEGORICAL_COLS)
-    assert arity == 101
-    pipeline, _, label = training.build_pipeline_f16("multiclass", num_trees=2, max_depth=3, arity=arity)
-    scored = pipeline.fit(df).transform(df)
+    pipeline, _, label = training.build_pipeline_f16("multiclass", num_trees=2, max_depth=3)
+    model = training.fit_staged(pipeline, df)
+    assert model.stages[-1].getMaxBins() == 101
+    scored = model.transform(df)
     assert scored.filter(F.col(label) == F.col("prediction")).count() > 300
 
 
@@ -78,3 +79,44 @@ def test_a_slice_under_the_gate_has_a_row(spark, sf_small):
     got = training.per_label_experiment(spark, sf_small, k=2, min_rows=10**9)
     assert [r["status"] for r in got.collect()] == ["skipped", "skipped"]
     assert {"accuracy", "area_under_roc", "n_rows"} <= set(got.columns)
+
+
+def test_staged_fit_equals_the_pipeline_fit(spark, sf_small):
+    df = training.load_eval_table(spark, sf_small).coalesce(1).cache()
+    pipeline, _ = training.build_pipeline_f12(df, num_trees=3, max_depth=4)
+    whole, staged = pipeline.fit(df), training.fit_staged(pipeline, df)
+    assert [type(a) for a in whole.stages] == [type(b) for b in staged.stages]
+    assert training.label_dictionary(whole, spark).collect() == training.label_dictionary(staged, spark).collect()
+    a, b = (m.transform(df).select("key", "prediction") for m in (whole, staged))
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_error_mode_refuses_unseen_and_null_categories(spark, sf_small):
+    from pyspark.errors import PySparkException
+    from netsift.operators import clean, labels
+    from netsift.sources import tables
+
+    df = clean.cast_columns(tables.conn_records(spark, sf_small)).withColumn("label_bin", labels.binary_label_a())
+    df = clean.drop_null_subset(df, [*C.PRESETS["f16"]]).limit(500).cache()
+    pipeline, _, _ = training.build_pipeline_f16("binary", num_trees=1, max_depth=2, invalid="error")
+    model = training.fit_staged(pipeline, df)
+    assert model.transform(df).count() == df.count()
+    for value in ("sctp", None):
+        with pytest.raises((PySparkException, Exception), match="(?i)unseen label|null|invalid"):
+            model.transform(df.limit(3).withColumn("protocol", F.lit(value).cast("string"))).select("prediction").collect()
+
+
+def test_discovered_features_and_console_sink(spark, sf_small, capfd):
+    from netsift.operators import schema
+    from netsift.session import scratch_path
+    from netsift.streaming import inference
+
+    df = spark.createDataFrame([(1, 2, 3, 4)], "a_bin int, b_processed int, label_bin int, c int")
+    assert schema.discover_features(df, ("_bin", "_processed")) == ["a_bin", "b_processed"]
+    base = scratch_path(spark, f"console-{id(df)}")
+    inference.stage_kafka_twin(spark.range(3).select(F.lit("k").alias("key"), F.lit("shown in full " * 5).alias("value")), f"{base}/in")
+    stream = inference.read_stream(spark, fmt="parquet", path=f"{base}/in").select(F.col("value").cast("string"))
+    q = inference.console_sink(stream, f"{base}/ckpt")
+    q.processAllAvailable()
+    q.stop()
+    assert q.exception() is None and q.recentProgress[0]["numInputRows"] == 3
