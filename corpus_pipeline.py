@@ -3,18 +3,19 @@
 Each stage takes ``(spark, docs, sf_dir)`` and works on all that the stage
 before kept; ``run`` writes each result as Parquet in the shared folder and
 reads it back. The filtering stages return the columns of ``documents`` as
-they are (extra columns too); rows that share a ``doc_id`` are one document,
-and rows without one can't be named by a decision and stay. An empty
+they are (extra columns too). Exact dedup names a row by its id and text; the other
+filters name it by its id, so a decision on one of several rows with an id holds for all of them,
+and rows without an id stay there. An empty
 ``documents`` gives an empty result with the same schema.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from netsift.llm import decontaminate, exact_dedup, ngram_join, packing, toxicity
-from netsift.llm.common import read, staged
+from netsift.llm.common import BLANKS, read, staged, whole_text
 
 #: A document scoring this or more is rejected; 0.3 flags it, more is needed to drop it.
 REJECT_TOXIC = 0.3
@@ -31,11 +32,21 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    rows = staged(exact_dedup.dedup(docs).where(~F.col("kept")).select("doc_id", "keep_id"), "copies")
-    rest = without(docs, rows)
-    # an id that is kept in one row and dropped in another stands in several equal rows
-    again = rows.where("doc_id = keep_id").select("doc_id").distinct()
-    return rest.unionByName(docs.join(again, "doc_id", "left_semi").select(*docs.columns).dropDuplicates(["doc_id"]))
+    """One row of each text stays, the others go: rows are named by id and text, so one id may hold several texts."""
+    digest = F.sha2(F.translate(whole_text(), BLANKS, ""), 256)
+    rows = staged(exact_dedup.dedup(docs).select("doc_id", "kept", "text_sha256"), "copies")
+    pair = ["doc_id", "text_sha256"]
+    gone = rows.where("NOT kept").select(*pair).distinct()
+    # of rows that repeat an id with its text, the longest stays
+    again = gone.alias("g").join(rows.where("kept").alias("k"), F.expr("g.doc_id <=> k.doc_id AND g.text_sha256 = k.text_sha256"), "left_semi")
+    named = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("whole"), "doc_id", digest.alias("text_sha256"))
+
+    def joined(pairs: DataFrame, how: str) -> DataFrame:
+        return named.alias("n").join(pairs.alias("p"), F.expr("n.doc_id <=> p.doc_id AND n.text_sha256 = p.text_sha256"), how)
+
+    longest = Window.partitionBy(*pair).orderBy(F.length("whole.text").desc())
+    once = joined(again, "left_semi").withColumn("place", F.row_number().over(longest)).where("place = 1")
+    return joined(gone, "left_anti").select("whole.*").unionByName(once.select("whole.*"))
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
