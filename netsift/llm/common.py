@@ -78,7 +78,9 @@ def groups_of(batches, keys: list[str]):
 
 
 class WordHashes(dict):
-    """64-bit hash of each word (bytes), kept for the words of the current batch."""
+    """64-bit hash of each word (bytes), kept for up to ``KEPT`` words (some 200 bytes each)."""
+
+    KEPT = 200_000
 
     def __missing__(self, word: bytes) -> int:
         import xxhash
@@ -87,7 +89,7 @@ class WordHashes(dict):
         return h
 
     def of(self, words: list[bytes]) -> np.ndarray:
-        if len(self) > 1_000_000:
+        if len(self) > self.KEPT:
             self.clear()
         return np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
 

@@ -85,6 +85,10 @@ def contrast_segments(toxic: list[str], ordinary: list[str]) -> list[bytes]:
     return out
 
 
+#: Words whose gains a worker keeps (some 150 bytes each).
+SEEN = 200_000
+
+
 class Compressors:
     """The two dictionaries and the window cache of one worker."""
 
@@ -104,7 +108,7 @@ class Compressors:
     def gain(self, word: bytes) -> int:
         g = self.seen.get(word)
         if g is None:
-            if len(self.seen) > 1_000_000:
+            if len(self.seen) >= SEEN:
                 self.seen.clear()
             w = spread(b" " + word + b" ")
             g = self.seen[word] = len(self.ordinary.compress(w)) - len(self.toxic.compress(w))
