@@ -56,6 +56,13 @@ def checked(df: DataFrame, row_bytes: int = 32) -> DataFrame:
     return F.broadcast(df) if small_enough(df, row_bytes) else df
 
 
+def pieces(batches, rows: int = 500):
+    """The rows of the batches, a few at a time, so that what is made from long texts stays small."""
+    for d in batches:
+        for i in range(0, len(d), rows):
+            yield d.iloc[i : i + rows]
+
+
 def groups_of(batches, keys: list[str]):
     """Whole groups of neighbouring rows with equal ``keys`` (nulls are equal) from sorted batches."""
     import pandas as pd

@@ -5,16 +5,18 @@ A document is the set of its word shingles. Two link when
 
 1. Documents with equal sets are one node (digest of the sorted shingles).
 2. Shingles are ordered by estimated document frequency, rare ones first; the
-   estimate is a table of ``COUNTERS`` counters, of a fixed size. It decides
+   estimate is a table of ``2**COUNTER_BITS`` counters. It decides
    order and class alone, so its error costs time and never a link.
 3. A set of n shingles may lose t = n - ceil(percent * n / 100) of them and
    still link. Shingles of the rare class are signatures alone; those of
-   frequent class c count only in combinations of c. The frequent ones are
+   frequent class c count only in combinations of c (see ``classes``). The frequent ones are
    dealt into groups by hash, and the prefix is extended until
    sum(max(0, shingles of the group - (c - 1))) reaches t + 1: whichever t
    shingles the other set lacks, one group keeps c of them, so every linking
    pair shares a signature. The number of groups follows the size class
-   (power of two); a set that can link to the class below signs there too.
+   (power of two) and is as large as the sum allows, which keeps the
+   combinations near a small multiple of t; a set that can link to the class
+   below signs there too.
    Sets under ``SINGLE`` shingles use single shingles only.
 4. Each signature links its holders to its smallest one; these pairs, if the
    sizes and the parity bitmaps allow a link, are verified on the whole sets.
@@ -42,7 +44,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from netsift.llm.common import ByteWords, checked, distinct, groups_of, mixed, read, shingle_hashes, staged, whole_text
+from netsift.llm.common import ByteWords, checked, distinct, groups_of, mixed, pieces, read, shingle_hashes, staged, whole_text
 
 COUNTER_BITS, BLOCK = 20, 1024
 SINGLE = 16
@@ -105,9 +107,13 @@ def frequencies(docs: DataFrame, words: int) -> np.ndarray:
 
 
 def classes(table: np.ndarray) -> list[float]:
-    """Estimated frequencies from which shingles count in pairs and in threes."""
-    pairs = 64 + 8 * float(table.mean())
-    return [pairs, 16 * pairs]
+    """Estimated frequencies from which shingles count in combinations: of two, of three, and so on.
+
+    Only pairs are used. They cost about 1.3 rows for each shingle that a set
+    may lose, threes 2.4 to 3.3, and frequent shingles of texts stand together
+    (copies, boilerplate), so that threes have as many holders as pairs.
+    """
+    return [64 + 8 * float(table.mean())]
 
 
 def least_shared(n: int, percent: int) -> int:
@@ -129,6 +135,21 @@ def least_apart(x: bytes, y: bytes) -> int:
     return int(np.bitwise_count(np.bitwise_xor.reduce(x.reshape(-1, len(y)), 0) ^ y).sum())
 
 
+def group_counts(size_class: int, percent: int, kinds: int) -> np.ndarray:
+    """Groups of kind 2 (pairs), 3, ... of a size class; kinds 0 and 1 stand for none.
+
+    A group of kind c gives up c - 1 shingles at most, so all groups together
+    must leave t + 1 of the smallest set of the class. As many groups as that
+    allows are used: small groups have few combinations.
+    """
+    room, out = least_shared(1 << size_class, percent) - 1, [1, 1]
+    for c in range(2, kinds + 1):
+        left = sum(range(c, kinds))  # a group for each later kind
+        out.append(max(1, (room - left) // (c - 1) if c == kinds else (room - left) * 4 // (10 * (c - 1))))
+        room -= (c - 1) * out[-1]
+    return np.array(out if room >= 0 else [0, 0], np.uint64)
+
+
 def signatures(s: np.ndarray, often: np.ndarray, percent: int, cuts: list[float]) -> tuple[np.ndarray, np.ndarray]:
     """Signatures of one set from rare shingles and from frequent ones: ``s`` its shingles, ``often`` their estimates."""
     n = len(s)
@@ -140,13 +161,14 @@ def signatures(s: np.ndarray, often: np.ndarray, percent: int, cuts: list[float]
     low = [size_class - 1] if least_shared(n, percent) < 1 << size_class else []
     for c in [size_class, *low]:
         tag = np.uint64((c + 1) * 0xD6E8FEB86659FD93 & 0xFFFFFFFFFFFFFFFF)
-        if 1 << c < SINGLE or kind[min(lose, n - 1)] == 1:
+        counts = group_counts(c, percent, len(cuts) + 1)
+        if 1 << c < SINGLE or not counts[0] or kind[min(lose, n - 1)] == 1:
             head, head_kind = mixed(s[: lose + 1] ^ tag), kind[: lose + 1]
             rare.append(head[head_kind == 1])
             common.append(head[head_kind > 1])
             continue
-        groups = (1 << c) // SINGLE
-        group = np.where(kind > 1, (s >> np.uint64(8)) % np.uint64(groups) + np.uint64(groups) * kind.astype(np.uint64), 0)
+        groups = counts[kind]
+        group = np.where(kind > 1, (s >> np.uint64(8)) % groups + (kind.astype(np.uint64) << np.uint64(48)), 0)
         useful = np.ones(n, np.int64)
         frequent = np.flatnonzero(kind > 1)
         if len(frequent):
@@ -176,7 +198,7 @@ def hash_of(members: tuple[int, ...], c: int) -> int:
 
 
 def signed(docs: DataFrame, words: int, percent: int) -> DataFrame:
-    """doc_id, n_shingles, digest and bits (of the set), rare and common signatures, of every row."""
+    """doc_id, n_shingles, digest and bits (of the set), rare and common signatures, of every row (staged)."""
     table = frequencies(docs, words)
     cuts, shared = classes(table), docs.sparkSession.sparkContext.broadcast(table)  # fixed size
     kind = docs.schema["doc_id"].dataType.simpleString()
@@ -185,7 +207,7 @@ def signed(docs: DataFrame, words: int, percent: int) -> DataFrame:
         import xxhash
 
         often, split = shared.value, ByteWords()
-        for d in batches:
+        for d in pieces(batches):
             sets = [shingles(t, words, split) for t in d["text"]]
             signs = [signatures(s, often[s >> np.uint64(64 - COUNTER_BITS)], percent, cuts) for s in sets]
             yield pd.DataFrame(
@@ -200,7 +222,9 @@ def signed(docs: DataFrame, words: int, percent: int) -> DataFrame:
             )
 
     schema = f"doc_id {kind}, n_shingles bigint, digest binary, bits binary, rare array<bigint>, common array<bigint>"
-    return docs.select("doc_id", whole_text().alias("text")).mapInPandas(rows, schema)
+    out = staged(docs.select("doc_id", whole_text().alias("text")).mapInPandas(rows, schema), "signed")
+    shared.destroy()
+    return out
 
 
 def texts_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -345,7 +369,7 @@ def holders(nodes: DataFrame) -> DataFrame:
 
 def components(docs: DataFrame, words: int = 4, percent: int = 85) -> DataFrame:
     """Per row: doc_id, n_shingles, component_id."""
-    rows = staged(signed(docs, words, percent), "signed")
+    rows = signed(docs, words, percent)
     groups = rows.where("doc_id is not null and n_shingles > 0").groupBy("digest").agg(F.min("doc_id").alias("node"))
     members = staged(rows.select("doc_id", "n_shingles", "digest").join(staged(groups, "nodes"), "digest", "left"), "members")
     copies = members.where("doc_id is null or node is null or doc_id <> node").select("doc_id", "digest").distinct()

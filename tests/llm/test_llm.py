@@ -99,6 +99,39 @@ def test_signatures_share_one_for_every_linking_pair():
             assert any(len(np.intersect1d(p, q)) for p, q in zip(a, b))
 
 
+@pytest.mark.parametrize("percent", [5, 30, 50, 80, 85, 95])
+@pytest.mark.parametrize("kinds", [2, 3, 4])
+def test_groups_leave_enough_of_every_set(percent, kinds):
+    for size_class in range(4, 15):
+        groups = ngram_join.group_counts(size_class, percent, kinds)
+        if groups[0]:
+            given_up = sum(int(groups[c]) * (c - 1) for c in range(2, kinds + 1))
+            for n in (1 << size_class, (1 << size_class) + 1, 2 << size_class):
+                assert n - given_up >= n - ngram_join.least_shared(n, percent) + 1
+
+
+def test_signatures_of_frequent_sets_are_few():
+    rng = np.random.default_rng(2)
+    for n in (40, 150, 300, 1000, 5000):
+        s = np.unique(rng.integers(1, 2**63, n).astype(np.uint64))
+        rare, common = ngram_join.signatures(s, np.full(len(s), 1000), 85, [10.0])
+        # two size classes at most, each near 1.3 signatures per shingle that may be lost
+        assert len(rare) == 0 and len(common) <= 4 * (n - ngram_join.least_shared(n, 85) + 1)
+
+
+@pytest.mark.parametrize("percent", [30, 60, 85])
+@pytest.mark.parametrize("cuts", [[20.0], [10.0, 40.0]])
+def test_signatures_are_shared_at_any_threshold(percent, cuts):
+    rng = np.random.default_rng(3)
+    for _ in range(200):
+        pool = rng.integers(1, 2**63, int(rng.integers(20, 400))).astype(np.uint64)
+        often = dict(zip(pool.tolist(), rng.integers(1, 80, len(pool)).tolist()))
+        x, y = (np.unique(rng.choice(pool, int(len(pool) * rng.uniform(0.6, 3)))) for _ in "xy")
+        if 100 * len(np.intersect1d(x, y)) >= percent * len(np.union1d(x, y)):
+            a, b = (ngram_join.signatures(s, np.array([often[int(v)] for v in s]), percent, cuts) for s in (x, y))
+            assert any(len(np.intersect1d(p, q)) for p, q in zip(a, b))
+
+
 def test_parity_bitmaps_never_exceed_the_difference():
     rng = np.random.default_rng(5)
     for _ in range(300):
