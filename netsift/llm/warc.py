@@ -111,6 +111,18 @@ def records(data: bytes):
         at = end + 4
 
 
+def unzipped(content: bytes) -> bytes:
+    """All gzip members of a file, one after another (an archive may have one per record)."""
+    out = []
+    while content:
+        z = zlib.decompressobj(31)
+        out.append(z.decompress(content))
+        if not z.eof:
+            raise ValueError("a gzip member does not end")
+        content = z.unused_data.lstrip(b"\0")  # some writers pad with zeros
+    return b"".join(out)
+
+
 def read_archives(spark: SparkSession, path: str) -> DataFrame:
     """The captures of all archives (see ``CAPTURE``)."""
 
@@ -121,7 +133,7 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
     def rows(batches):
         for files in batches:
             for name, content in zip(files["path"], files["content"]):
-                data = zlib.decompress(content, 31) if name.endswith(".gz") else bytes(content)
+                data = unzipped(bytes(content)) if name.endswith(".gz") else bytes(content)
                 out = []
                 for at, h, payload in records(data):
                     revisit = h["WARC-Type"] == "revisit"
