@@ -7,7 +7,7 @@ lengths of what lies between; matches that fail their check are dropped.
 The base spans seed the method. A lexical pattern is a kind with the word
 before or after an instance (lower case). Candidates are identifier-like runs
 of digits and addresses in disguise that no base span touches, with the same
-two words. Patterns and instances form a graph, scored in ``ROUNDS``: a
+two words (looked for among the ``CONTEXT`` characters beside it). Patterns and instances form a graph, scored in ``ROUNDS``: a
 pattern is worth the mean score of its distinct instances if at least
 ``SUPPORT`` distinct known ones carry it (candidates count against it until
 they score), an instance what its best pattern on either side is worth; known
@@ -32,7 +32,8 @@ from netsift.llm.common import read, staged, whole_text
 KINDS = ["email", "ip", "card", "phone"]
 #: Each matches what its definition matches; possessive groups only where that changes nothing.
 PATTERNS = {
-    "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)++",
+    # starts where a run does or the match before ended, so that a long run is tried once
+    "email": r"(?:\G|(?<![A-Za-z0-9._%+-]))[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]+)++",
     "ip": r"[0-9]+\.[0-9]+\.[0-9]+\.[0-9]+",
     "card": r"[0-9]+(?:[ -][0-9]+)*+",
     "phone": r"\+[0-9][ ().0-9-]+[0-9]",

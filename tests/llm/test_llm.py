@@ -195,6 +195,20 @@ def test_pii_base_spans(spark):
         assert got[i]["b"] == ",".join(brute_spans(t)), i
 
 
+def test_pii_emails_beside_each_other_and_in_long_runs(spark):
+    rng = np.random.default_rng(4)
+    texts = ["".join(rng.choice(list("a.b-_@+ é\n"), int(rng.integers(0, 60)))) for _ in range(400)]
+    texts += ["a@b.com_x@y.z", "a@b_c@d.e", "a@b.c@d.e@f.g", "x@y.z.a@b.c", "@a@b.c"]
+    run = "aB9+" * 250_000  # 1 MB without an address
+    texts += [run + " a@b.c " + run, run + "@b.c"]
+    df = spark.createDataFrame([*enumerate(texts)], "doc_id long, text string")
+    pattern = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
+    got = {r["doc_id"]: [(s["start"], s["end"]) for s in r["base"] if s["kind"] == "email"] for r in pii.extracted(df).collect()}
+    for i, t in enumerate(texts[:-2]):
+        assert got[i] == [m.span() for m in pattern.finditer(t)], t
+    assert got[len(texts) - 2] == [(len(run) + 1, len(run) + 6)] and got[len(texts) - 1] == [(0, len(run) + 4)]
+
+
 def test_pii_discovers_by_context(spark):
     known = [(i, f"ring phone: +1 (234) 555-{1000 + i} please") for i in range(12)]
     df = spark.createDataFrame([*known, (50, "ring phone: (555) 888-7777 please"), (51, "size 100 200 300 metres")], "doc_id long, text string")
@@ -325,6 +339,15 @@ def test_warc_repeated_page_ids_keep_their_own_payloads(spark):
     assert sorted(got, key=str) == sorted(want, key=str)
 
 
+def test_warc_reads_every_gzip_member():
+    import gzip
+
+    parts = [b"one" * 50, b"", b"two" * 7]
+    assert warc.unzipped(b"".join(map(gzip.compress, parts)) + b"\0\0") == b"".join(parts) and warc.unzipped(b"") == b""
+    with pytest.raises(ValueError):
+        warc.unzipped(gzip.compress(parts[0])[:-9])
+
+
 def test_loser_tree():
     rng = np.random.default_rng(3)
     for k in range(7):
