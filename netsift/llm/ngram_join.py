@@ -109,8 +109,8 @@ def frequencies(docs: DataFrame, words: int) -> np.ndarray:
 def classes(table: np.ndarray) -> list[float]:
     """Estimated frequencies from which shingles count in combinations: of two, of three, and so on.
 
-    Only pairs are used. They cost about 1.3 rows for each shingle that a set
-    may lose, threes 2.4 to 3.3, and frequent shingles of texts stand together
+    Only pairs are used. By calculation they cost about 1.3 rows for each shingle
+    that a set may lose, threes 2.4 to 3.3, and frequent shingles of texts stand together
     (copies, boilerplate), so that threes have as many holders as pairs.
     """
     return [64 + 8 * float(table.mean())]
