@@ -172,6 +172,41 @@ def test_exact_dedup_repeated_rows_and_empty(spark, none):
     assert exact_dedup.dedup(none).collect() == []
 
 
+def test_exact_dedup_index_outlives_a_session_and_a_failed_load(spark, tmp_path):
+    path = str(tmp_path / "it's an index")
+    schema = "doc_id long, text string"
+    one = spark.createDataFrame([(i, f"text {i % 30}" + " " * (i % 7)) for i in range(200)] + [(None, "text 3"), (500, None)], schema)
+    index = exact_dedup.DigestIndex(spark, path, buckets=4)
+    rows = lambda df: sorted(map(tuple, df.collect()), key=str)
+    first = rows(exact_dedup.dedup(one, index, "monday"))
+    assert sum(r[3] for r in first) == 31
+    # every part before the last stays behind as a failed load would leave it: the same load again keeps the same rows
+    assert rows(exact_dedup.dedup(one, index, "monday")) == first
+    later = spark.newSession()
+    later.sql(f"DROP TABLE IF EXISTS {index.name}")  # a new session's catalog is empty; the folder is not
+    again = exact_dedup.DigestIndex(later, path, buckets=64, parts=9)
+    assert (again.buckets, again.parts) == (4, exact_dedup.PARTS)
+    two = later.createDataFrame([(7, "text 3" + " " * 50), (8, "new"), (9, " new"), (10, "")], schema)
+    got = {r["doc_id"]: r for r in exact_dedup.dedup(two, again, "tuesday").collect()}
+    keeper = next(r[1] for r in first if r[4] == hashlib.sha256(b"text3").hexdigest())
+    assert [(i, got[i]["keep_id"], got[i]["kept"], got[i]["group_size"]) for i in (7, 8, 9, 10)] == [
+        (7, keeper, False, 1), (8, 9, False, 2), (9, 9, True, 2), (10, 500, False, 1)
+    ]
+
+
+def test_exact_dedup_joins_the_index_by_its_buckets(spark):
+    index = exact_dedup.DigestIndex(spark, buckets=4)
+    docs = spark.createDataFrame([(i, f"t {i % 9}") for i in range(60)], "doc_id long, text string")
+    exact_dedup.dedup(docs, index, "a")
+    held = index.entries()
+    parts = {r["part"] for r in held.collect()}
+    assert len(parts) > 1 and held.groupBy("digest").count().count() == 9
+    plan = index.unseen(held.drop("load", "part"), "b", 0)._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "LeftAnti" in plan and plan.count("SelectedBucketsCount") >= 1 and plan.count("Exchange") <= 1
+    whole = index.staying("a")._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in whole
+
+
 BASE = {"email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", "card": r"[0-9]([\x20-]?[0-9])+", "phone": r"\+[0-9][\x20().0-9-]+[0-9]"}
 
 
