@@ -457,40 +457,85 @@ def test_toxicity_held_out(spark, sf_small, docs, none):
     assert {r["score"] for r in toxicity.score(docs, toxicity.fit(docs, labels.where("false"))).collect()} == {0.0}
 
 
-def test_chat_equals_whole_viterbi(spark, monkeypatch, none):
-    turns = [(1, i, ["user", "assistant"][i % 2], f"text {i}\nmore {i}?") for i in range(30)] + [(2, None, None, None), (None, 0, "user", "hi"), (None, 0, "user", "hi")]
-    df = chat.as_transcripts(spark.createDataFrame(turns, "conv_id long, turn long, role string, text string"))
-    roles = {}
-    for size in (4, 1000):
-        monkeypatch.setattr(chat, "BLOCK_TURNS", size)
-        out = chat.format_turns(df).orderBy("conv_id", "block", "turn_no").collect()
-        roles[size] = [(r["conv_id"], r["role"]) for r in out for _ in range(r["n_lines"])]
-    assert roles[4] == roles[1000] and len(roles[4]) == 62
-    right = [r for c, r in roles[4] if c == 1] == [turns[i // 2][2] for i in range(60)]
-    assert right
-    empty = spark.createDataFrame([], "conv_id long, turn long, role string, text string")
-    assert chat.format_turns(empty).collect() == []
-
-
-def test_chat_blocks_are_bounded_and_rows_kept(spark, monkeypatch):
-    rows = [(1, None, "user", f"null turn {i}", 0) for i in range(20)] + [(1, 5, "assistant", f"one turn {i}\nmore", 0) for i in range(20)]
-    rows += [(1, 6, "user", "\n".join(f"long {i}" for i in range(23)), 0), (2, 0, "user", "Hi", 0), (2, 0, "user", "Hi", 1), (2, 0, "User", "Hi", 1), (None, None, None, "x", 0)]
-    rows += [(2, 0, "user", "Hi", 1)]  # repeats wholly
-    df = chat.as_transcripts(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string, source int"))
-    model = chat.fit(chat.transcript_lines(df))
-    roles = {}
-    for turns, part, fan in ((4, 5, 2), (1000, 1000, 64)):
-        monkeypatch.setattr(chat, "BLOCK_TURNS", turns)
-        monkeypatch.setattr(chat, "PART_LINES", part)
-        monkeypatch.setattr(chat, "FAN", fan)
-        out = chat.format_turns(df, model).orderBy("conv_id", "block", "turn_no").collect()
-        sizes = collections.Counter()
-        for r in out:
-            sizes[r["conv_id"], r["block"]] += r["n_lines"]
-        assert max(sizes.values()) <= turns * part
-        roles[turns] = [(r["conv_id"], r["role"]) for r in out for _ in range(r["n_lines"])]
-    assert roles[4] == roles[1000]
-    assert collections.Counter(c for c, _ in roles[4]) == {1: 20 + 40 + 23, 2: 3, None: 1}
+def brute_roles(lines, model):
+    """Score of the best path by dictionaries, and the score of any path; ``lines`` are (number, opens its row)."""
+    start, move, show, quiet = model
+
+    def shown(state, line):
+        if line[1]:
+            return show[state, line[0]] if state < 3 else -np.inf
+        return show[state, line[0]] + (quiet if state < 3 and line[0] < 40 else 0)
+
+    best = {s: start[s] + shown(s, lines[0]) for s in range(6)}
+    for line in lines[1:]:
+        best = {s: max(best[b] + move[b, s] for b in range(6)) + shown(s, line) for s in range(6)}
+    path = lambda x: start[x[0]] + shown(x[0], lines[0]) + sum(move[a, b] + shown(b, q) for a, b, q in zip(x, x[1:], lines[1:]))
+    return max(best.values()), path
+
+
+CHAT = "conv_id long, turn long, role string, text string"
+
+
+def chat_rows():
+    rng = np.random.default_rng(9)
+    line = lambda: rng.choice(["", "why?", "- a list", "x = 1;", "prose of some words", "User: hello", "Bot: hi there", "System: be kind"])
+    rows = [(c, t, str(rng.choice(["user", "assistant"])), "\n".join(line() for _ in range(rng.integers(1, 6)))) for c in range(12) for t in range(int(rng.integers(1, 14)))]
+    rows += [(50, None, "user", f"null turn {i}") for i in range(20)] + [(50, 5, "assistant", f"one turn {i}\nmore") for i in range(20)]
+    rows += [(50, 6, "user", "\n".join(f"long {i}" for i in range(23))), (51, 0, "user", "Hi"), (51, 0, "user", "Hi"), (51, 0, "judge", None), (None, None, None, "x"), (None, 0, "user", "")]
+    return rows
+
+
+@pytest.mark.parametrize("labelled", [True, False])
+def test_chat_equals_viterbi_whatever_the_blocks(spark, monkeypatch, labelled):
+    rows = chat_rows()
+    df = spark.createDataFrame(rows, CHAT).withColumn("block", F.lit("x")).withColumn("lines", F.lit(1)).withColumn("row", F.lit(None))
+    df = df if labelled else df.withColumn("role", F.lit(None).cast("string"))
+    placed = chat.ordered(chat.transcript_rows(df))
+    model, got = chat.fit(placed), {}
+    for size, fan, slab in ((64, 64, 1 << 18), (3, 2, 7), (1, 3, 1)):
+        for name, value in (("BLOCK_TURNS", size), ("FAN", fan), ("SLAB", slab)):
+            monkeypatch.setattr(chat, name, value)
+        out = chat.format_turns(df, model).collect()
+        got[size] = sorted((tuple(r) for r in out), key=lambda r: (str(r[0]), r[1], r[2]))
+    assert got[64] == got[3] == got[1]
+    assert sum(r[4] for r in got[64]) == sum((t or "").count("\n") + 1 for *_, t in rows)
+    monkeypatch.setattr(chat, "BLOCK_TURNS", 4)
+    placed = chat.ordered(chat.transcript_rows(df))
+    found = chat.recovered(placed, model).join(placed, "row").orderBy("place").collect()
+    for conv in {r[0] for r in rows}:
+        mine = [r for r in found if r["conv_id"] == conv]
+        lines = [(q, k == 0) for r in mine for k, q in enumerate(r["seen"])]
+        best, path = brute_roles(lines, model)
+        assert path([s for r in mine for s in r["states"]]) == pytest.approx(best, abs=1e-4 * len(lines) + 1e-6), conv
+
+
+def test_chat_takes_a_pasted_transcript_apart(spark):
+    pasted = "System: be brief\nUser: what is it?\nsecond line\nAssistant: a thing\n\nHuman: thanks"
+    rows = [(i, t, ["user", "assistant"][t % 2], f"words {i}\nand more words") for i in range(40) for t in range(4)] + [(99, 0, None, pasted), (98, 0, None, "plain\n" * 30 + "end")]
+    out = chat.format_turns(spark.createDataFrame(rows, CHAT)).where("conv_id >= 98").orderBy("conv_id", "part").collect()
+    assert out[0]["n_lines"] == 31  # without markers a text is one turn, of whichever role
+    assert [(r["role"], r["n_lines"]) for r in out[1:]] == [("system", 1), ("user", 2), ("assistant", 2), ("user", 1)]
+    assert [r["rendered"] for r in out[1:]] == [
+        "<|system|>\nbe brief<|end|>", "<|user|>\nwhat is it?\nsecond line<|end|>", "<|assistant|>\na thing\n<|end|>", "<|user|>\nthanks<|end|>"
+    ]
+
+
+def test_chat_recovers_roles_of_unseen_conversations(spark, sf_small):
+    turns = read(spark, sf_small.replace("sf0.001", "sf0.01"), "conversations")
+    held = F.pmod(F.crc32(F.col("conv_id").cast("string").cast("binary")), F.lit(4)) == 2
+    out = chat.format_turns(turns).collect()
+    seen = [r for r in out if r["held_out"] and r["part"] == 0 and r["labelled"] in ("user", "assistant")]
+    assert len(seen) > 100 and np.mean([r["role"] == r["labelled"] for r in seen]) > 0.8
+    # roles of held-out rows change nothing
+    blind = chat.format_turns(turns.withColumn("role", F.when(held, "system").otherwise(F.col("role")))).drop("labelled").collect()
+    key = lambda r: (r["conv_id"], r["place"], r["part"], r["role"], r["rendered"])
+    assert sorted(map(key, blind)) == sorted(map(key, out))
+
+
+def test_chat_empty_and_very_long(spark):
+    assert chat.format_turns(spark.createDataFrame([], CHAT)).collect() == []
+    out = chat.format_turns(spark.createDataFrame([(1, 0, "user", "a line\n" * 50_000), (1, 1, "assistant", "x" * 1_000_000)], CHAT)).collect()
+    assert sum(r["n_lines"] for r in out) == 50_002 and max(len(r["rendered"]) for r in out) > 1_000_000
 
 
 def brute_kneser_ney(trusted, text):
