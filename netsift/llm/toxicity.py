@@ -13,7 +13,8 @@ probability by logistic regression.
 Only the bounded sample of labelled rows (``PER_CLASS`` per label, by hash of
 the id) goes through the driver; scoring is one pass without a shuffle.
 Edge cases: null and empty texts score as a text without windows; null
-labels and ids without a document are not learned from; with one label
+labels, ids without a document and ids with both labels are not learned from;
+of several texts with one id the first in byte order is; with one label
 missing every score is the share of toxic labels; repeated rows score alike.
 Inputs of a score are the text alone.
 """
@@ -161,13 +162,13 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> dict:
     known = labels.select("doc_id", F.col("toxic").cast("int").alias("toxic")).where(
         "doc_id is not null and toxic in (0, 1)"
     ).where(~held_out())
+    known = known.groupBy("doc_id").agg(F.min("toxic").alias("toxic"), F.max("toxic").alias("most")).where("toxic = most").drop("most")
     counts = {r["toxic"]: r["n"] for r in known.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     prior = counts.get(1, 0) / max(1, sum(counts.values()))
     order = [F.xxhash64(F.col("doc_id").cast("string")), "doc_id"]
     picked = [known.where(f"toxic = {v}").orderBy(*order).limit(per_class) for v in (0, 1)]
-    # 2 * per_class ids at most
-    chosen = F.broadcast(picked[0].unionByName(picked[1]).dropDuplicates(["doc_id"]))
-    rows = docs.select("doc_id", whole_text().alias("text")).join(chosen, "doc_id").select("toxic", "text").limit(4 * per_class)
+    chosen = F.broadcast(picked[0].unionByName(picked[1]))  # 2 * per_class ids at most, each of them once
+    rows = docs.select("doc_id", whole_text().alias("text")).join(chosen, "doc_id").groupBy("doc_id", "toxic").agg(F.min("text").alias("text")).select("toxic", "text")
     texts = {0: [], 1: []}
     for r in sorted(rows.collect()):
         texts[r["toxic"]].append(r["text"])

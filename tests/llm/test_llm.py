@@ -396,10 +396,54 @@ def test_line_dedup(spark, none):
     df = spark.createDataFrame([*texts.items(), (10, None), (11, "a b"), (None, shared)], "doc_id long, text string")
     got = {r["doc_id"]: r for r in line_dedup.cleaned(df).collect()}
     assert all(got[i]["text"] == texts[i].split("\n")[0] and got[i]["n_dropped"] == 1 for i in texts)
-    assert (got[10]["text"], got[10]["n_lines"], got[11]["text"], got[None]["text"]) == ("", 1, "a b", shared)
+    assert (got[10]["text"], got[10]["n_lines"], got[11]["text"], got[None]["text"]) == ("", 1, "a b", "")  # a row without an id loses what recurs too
     assert line_dedup.cleaned(none).collect() == []
 
 
+@pytest.mark.parametrize("size", [32 << 20, 0])  # the recurring set is broadcast, or joined
+def test_line_dedup_equals_brute_force(spark, monkeypatch, size):
+    monkeypatch.setattr(line_dedup, "SET_BYTES", size)
+    rng = np.random.default_rng(6)
+    word = lambda: str(rng.choice(["alpha", "beta", "Gamma", "x1", "7", "the", "é"]))
+    pool = [" ".join(word() for _ in range(rng.integers(0, 12))) for _ in range(40)]
+    texts = ["\n".join(str(rng.choice(pool)) + (" tail" if rng.random() < 0.5 else "") for _ in range(rng.integers(0, 7))) for _ in range(60)]
+    texts += [None, "", "\n\n", "\n".join(f"long line of text {chr(97 + i % 26)} {'yz'[i % 2] * (i % 50)}" for i in range(60_000)), texts[0]]
+    ids = [None if i % 13 == 5 else i // 2 for i in range(len(texts))]
+    df = spark.createDataFrame([*zip(ids, texts)], "doc_id long, text string").withColumn("row", F.lit(1)).withColumn("templates", F.lit("a"))
+
+    def leaf(x):  # every template as a tuple
+        words = ["<*>" if any(c in "0123456789" for c in w) else w for w in x.lower().split()]
+        if len(words) < 3:
+            return []
+        rest = words[2:]
+        cut = [len(rest) * k // 3 for k in range(4)]
+        wild = [(k, *rest[: cut[k]], "<*>", *rest[cut[k + 1] :], cut[k + 1] - cut[k]) for k in range(3)] if len(words) >= 8 else []
+        return [(len(words), *words[:2], None, *x) for x in [tuple(rest), *wild]]
+
+    held = collections.Counter(h for t in texts for h in {h for x in (t or "").split("\n") for h in leaf(x)})
+    want = []
+    for i, t in zip(ids, texts):
+        lines = (t or "").split("\n")
+        stay = [x for x in lines if not any(held[h] >= 5 for h in leaf(x))]
+        want.append((i, len(lines), len(lines) - len(stay), "\n".join(stay)))
+    got = [tuple(r) for r in line_dedup.cleaned(df).collect()]
+    assert sorted(got, key=str) == sorted(want, key=str) and any(0 < w[2] < w[1] for w in want)
+
+
+def test_toxicity_learns_each_id_once(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(toxicity, "train", lambda toxic, ordinary, prior: seen.append((toxic, ordinary, prior)) or {"constant": prior})
+    rows = [(i, f"text {i}") for i in range(8)] + [(0, "another")] * 50 + [(0, "text 0")]
+    labels = [(i, i % 2) for i in range(8)] + [(1, 0), (3, 1), (3, 1), (4, None)]
+    toxicity.fit(spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(labels, "doc_id long, toxic int"), per_class=3)
+    learnt = [i for i in range(8) if zlib.crc32(str(i).encode()) % 4 != 2 and i != 1]
+    toxic, ordinary, prior = seen[0]
+    every = {v: {f"text {i}" if i else "another" for i in learnt if i % 2 == v} for v in (0, 1)}
+    assert set(toxic) <= every[1] and set(ordinary) <= every[0]
+    assert [len(toxic), len(ordinary)] == [min(3, len(every[v])) for v in (1, 0)]
+    assert prior == pytest.approx(len(every[1]) / len(learnt))
+
+
 def test_packing(spark, docs, rows, none):
     from tokenizers import Tokenizer
     import public_tokenizers
