@@ -5,7 +5,8 @@ before kept; ``run`` writes each result as Parquet in the shared folder and
 reads it back. The filtering stages return the columns of ``documents`` as
 they are (extra columns too). Exact dedup names a row by its id and text; the other
 filters name it by its id, so a decision on one of several rows with an id holds for all of them,
-and rows without an id stay there. An empty
+and rows without an id stay there. Near copies share 80 % or more of their
+shingles of five words. An empty
 ``documents`` gives an empty result with the same schema.
 """
 
@@ -17,7 +18,7 @@ from pyspark.sql import functions as F
 from netsift.llm import decontaminate, exact_dedup, ngram_join, packing, toxicity
 from netsift.llm.common import BLANKS, read, staged, whole_text
 
-#: A document scoring this or more is rejected; 0.3 flags it, more is needed to drop it.
+#: A document scoring this or more is rejected, as the toxicity operator itself predicts.
 REJECT_TOXIC = 0.3
 
 
