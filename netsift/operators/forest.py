@@ -68,13 +68,13 @@ def _packed(nodes: DataFrame) -> Column:
 
 
 def _leaf(nodes: Column, features: Column, depth: int) -> Column:
-    def step(at: Column, _: Column) -> Column:
-        node = nodes[at]
+    # the node itself is carried along: its number would be looked up again for each of its fields
+    def step(node: Column, _: Column) -> Column:
         x = features[node["feature"]]
         goes_left = F.when(node["threshold"].isNotNull(), x <= node["threshold"]).otherwise(F.array_contains(node["categories"], x))
-        return F.when(node["left"].isNull(), at).when(goes_left, node["left"]).otherwise(node["right"])
+        return F.when(node["left"].isNull(), node).otherwise(nodes[F.when(goes_left, node["left"]).otherwise(node["right"])])
 
-    return nodes[F.aggregate(F.sequence(F.lit(1), F.lit(max(1, depth))), F.lit(0), step)]
+    return F.aggregate(F.sequence(F.lit(1), F.lit(max(1, depth))), nodes[0], step)
 
 
 def score(df: DataFrame, nodes: DataFrame, model: PipelineModel | Ensemble, features: str = "features") -> DataFrame:
