@@ -13,7 +13,7 @@ from ..operators import balance, clean, features, forest, labels, metrics, sketc
 from ..session import scratch_path
 from ..sources import tables
 from ..streaming import inference, replay
-from . import ledger
+from . import concurrent, ledger
 from .queries import register, row_counts
 from .queries_more import F12_NUMERIC, _clean_f12, _scored
 
@@ -23,11 +23,16 @@ SKETCH_PROBS = (0.1, 0.25, 0.5, 0.75, 0.9)
 REPLAY_COLUMNS = ("key", *C.CONN_COLUMNS)
 
 
+def _in_loads(df, columns):
+    """``df`` written once, in a folder per load: its joins are not repeated for each load and check."""
+    return concurrent.staged_by(df.select(*columns, hash_bucket("key", LOADS, "load|").alias("load")), "load", "loads")
+
+
 def _sketch_store(spark, df, numeric, nominal=()):
     """The sketches of ``df`` in four loads; the first arrives twice and counts once."""
     store = scratch_path(spark, f"sketches-{uuid.uuid4().hex[:12]}")
     for load in [*range(LOADS), 0]:
-        part = df.filter(hash_bucket("key", LOADS, "load|") == load)
+        part = df.filter(F.col("load") == load)
         sketches.store_load(sketches.summarise(part, numeric, nominal), store, f"l{load}")
     return sketches.stored(spark, store)
 
@@ -35,7 +40,7 @@ def _sketch_store(spark, df, numeric, nominal=()):
 @register("sketched_quantiles")
 def sketched_quantiles(spark, sf):
     """Quantiles from merged sketches of several loads, and whether their true ranks are within the stated error."""
-    df = _clean_f12(spark, sf)
+    df = _in_loads(_clean_f12(spark, sf), F12_NUMERIC)
     merged = sketches.merged(_sketch_store(spark, df, F12_NUMERIC))
     # features x probabilities, at most
     found = {r["feature"]: r for r in sketches.quantiles(merged, SKETCH_PROBS).collect()}
@@ -53,8 +58,8 @@ def sketched_quantiles(spark, sf):
 @register("sketched_distinct")
 def sketched_distinct(spark, sf):
     """A3: distinct counts from merged sketches, and whether they are within four standard errors of the exact ones."""
-    df = tables.conn_records(spark, sf)
     numeric, nominal = [*C.NUMERIC_COLS, *C.PORT_COLS], [*C.CATEGORICAL_COLS, *C.BOOLEAN_COLS]
+    df = _in_loads(tables.conn_records(spark, sf), [*numeric, *nominal])
     summary = sketches.merged(_sketch_store(spark, df, numeric, nominal))
     exact = features.distinct_per_feature(df, [*numeric, *nominal])
     both = sketches.distinct_counts(summary).withColumnRenamed("n_distinct", "estimate").join(exact, "feature")
