@@ -1,14 +1,17 @@
 """Toxicity by compression distance (operator 8).
 
-Two zstandard dictionaries, one of toxic and one of ordinary text, compress
-every window of a text; a window that the toxic dictionary shortens more
-leans toxic. The toxic dictionary holds the byte segments of toxic training
-texts that contrast most with ordinary ones (document frequencies, one-sided
-z), the ordinary one the words that cover most ordinary text. A window is one
-normalised word with its borders, each byte spread to three so that the gain
-grows with the matched length; equal windows of a batch are compressed once.
-Gains (mean, and rates over several thresholds) are calibrated to a
-probability by logistic regression.
+Two zstandard dictionaries compress every window of a text: one of ordinary
+text, and the same followed by segments of toxic texts; a window that the second
+shortens leans toxic by as much. Ordinary text stands as the words that cover
+most of it. A segment lies within a window and contrasts toxic training texts with
+ordinary ones (document frequencies, root of the likelihood ratio); each one is
+chosen among windows that hold none chosen before, so that a rare kind of
+toxic text isn't crowded out by variants of a common one. A window is one
+normalised word with its borders, each byte spread to three of itself and up to two
+bytes before it, so that the gain grows with the matched length and
+fragments matched out of context save little; equal windows of a batch are
+compressed once. Gains (mean, and rates over several thresholds) are calibrated
+to a probability by logistic regression.
 
 Only the bounded sample of labelled rows (``PER_CLASS`` per label, by hash of
 the id) goes through the driver; scoring is one pass without a shuffle.
@@ -30,15 +33,15 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from netsift.llm.common import read, whole_text
+from netsift.llm.common import distinct, read, whole_text
 
 #: Training bound: at most so many labelled documents of each label.
 PER_CLASS = 1500
-SEGMENTS, WORDS, LEVEL, SPREAD = 150, 300, 13, 3
-CUTS = (5.0, 8.0, 11.0, 14.0)
+SEGMENTS, WORDS, LEVEL = 150, 300, 13
+#: Least contrast of a segment, and the share of the best contrast at which a longer segment is taken.
+LEAST, NEAR = 4.0, 0.99
+CUTS = (4.0, 6.0, 9.0, 12.0)
 TOKEN = re.compile(rb"[^\x00-\x40\x5b-\x60\x7b-\x7f]+")
-#: Three bytes for each byte, from a fixed linear rule.
-SPREAD_BYTES = [bytes(((b * 167 + 13) & 255, (b * 59 + 101) & 255, (b * 211 + 47) & 255)) for b in range(256)]
 
 
 def words_of(text: str) -> list[bytes]:
@@ -46,43 +49,103 @@ def words_of(text: str) -> list[bytes]:
 
 
 def spread(word: bytes) -> bytes:
-    return b"".join([SPREAD_BYTES[b] for b in word])
+    """Three bytes for each byte, by a fixed linear rule: of it, of it and the one before, of it and the two before."""
+    out, p, q = bytearray(), 0, 0
+    for b in word:
+        out += bytes(((b * 167 + 13) & 255, (b * 59 + q * 151 + 101) & 255, (b * 211 + q * 77 + p * 29 + 47) & 255))
+        p, q = q, b
+    return bytes(out)
+
+
+class Vocabulary:
+    """The distinct words of some texts, and for every word the texts that hold it."""
+
+    def __init__(self, texts: list[str]):
+        ids: dict[bytes, int] = {}
+        each = [np.fromiter((ids.setdefault(w, len(ids)) for w in set(words_of(t))), np.int32) for t in texts]
+        word = np.concatenate([np.zeros(0, np.int32), *each])
+        order = np.argsort(word, kind="stable")
+        self.words, self.text = list(ids), np.repeat(np.arange(len(texts)), [len(x) for x in each])[order]
+        self.start = np.searchsorted(word[order], np.arange(len(ids) + 1))
+
+    def segments(self, k: int) -> tuple[np.ndarray, np.ndarray]:
+        """Every segment of ``k`` bytes (up to 8, packed) within a word and its borders, and that word; each pair once, sorted."""
+        b = np.frombuffer(b" " + b" ".join(self.words) + b" ", np.uint8).astype(np.uint64)
+        n = len(b) - k + 1
+        if n < 1 or not self.words:
+            return np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        x = np.zeros(n, np.uint64)
+        for i in range(k):
+            x = (x << np.uint64(8)) | b[i : n + i]
+        borders = np.cumsum(b == 32)
+        inside = borders[k - 2 : n + k - 2] == borders[:n]  # no border between its first and its last byte
+        x, word = x[inside], (borders[:n] - 1)[inside]
+        order = np.lexsort((word, x))
+        x, word = x[order], word[order]
+        once = np.ones(len(x), bool)
+        once[1:] = (x[1:] != x[:-1]) | (word[1:] != word[:-1])
+        return x[once], word[once]
+
+    def holding(self, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The texts that hold each of ``words``: its place there and the text."""
+        size = self.start[words + 1] - self.start[words]
+        at = np.repeat(np.arange(len(words)), size)
+        return at, self.text[np.arange(len(at)) + np.repeat(self.start[words] - np.cumsum(size) + size, size)]
+
+
+def contrast(n: np.ndarray, m: np.ndarray, of_n: int, of_m: int) -> np.ndarray:
+    """Root of the likelihood ratio of ``n`` in ``of_n`` texts against ``m`` in ``of_m``; 0 where they are no more."""
+    share = (n + m) / (of_n + of_m)
+
+    def part(x, of):
+        log = lambda a, b: a * np.log(np.maximum(a, 1e-9) / np.maximum(b, 1e-9))
+        return log(x, share * of) + log(of - x, (1 - share) * of)
+
+    return np.where(n * of_m > m * of_n, np.sqrt(np.maximum(0, 2 * (part(n, of_n) + part(m, of_m)))), 0)
+
+
+#: Pairs of segment and text that are counted at a time.
+PAIRS = 1 << 20
 
 
-def segment_counts(texts: list[str], k: int) -> tuple[np.ndarray, np.ndarray]:
-    """Document frequency of every segment of ``k`` bytes (up to 8, packed)."""
-    each = [np.zeros(0, np.uint64)]
-    for t in texts:
-        b = np.frombuffer(b" " + b" ".join(words_of(t)) + b" ", np.uint8).astype(np.uint64)
-        if len(b) >= k:
-            x = np.zeros(len(b) - k + 1, np.uint64)
-            for i in range(k):
-                x = (x << np.uint64(8)) | b[i : len(b) - k + 1 + i]
-            each.append(np.unique(x))
-    return np.unique(np.concatenate(each), return_counts=True)
+def contrast_segments(toxic: list[str], ordinary: list[str]) -> list[bytes]:
+    """Segments that tell toxic texts from ordinary ones, the most telling first; each by the words without one before it."""
+    v, every, least = Vocabulary([*toxic, *ordinary]), len(toxic) + len(ordinary), max(3, 0.02 * len(toxic))
 
+    def telling(segment: np.ndarray, text: np.ndarray, size: int) -> np.ndarray:
+        """Contrast of each of ``size`` segments, given its texts (each once)."""
+        n, m = (np.bincount(segment[y], minlength=size) for y in (text < len(toxic), text >= len(toxic)))
+        return np.where(n >= least, contrast(n, m, len(toxic), len(ordinary)), 0)
 
-def contrast_segments(toxic: list[str], ordinary: list[str]) -> list[bytes]:
-    found = []
+    found, rows = [], [np.zeros((3, 0), np.int64)]  # candidates; of each the number, a word with it and a text with that word
     for k in (4, 5, 6, 7, 8):
-        a, n = segment_counts(toxic, k)
-        often = n >= max(3, 0.02 * len(toxic))
-        a, n = a[often], n[often]
-        b, m = segment_counts(ordinary, k)
-        if len(a) == 0:
-            continue
-        if len(b):
-            at = np.clip(np.searchsorted(b, a), 0, len(b) - 1)
-            m = np.where(b[at] == a, m[at], 0)
-        else:
-            m = np.zeros(len(a))
-        odds = np.log((n + 0.5) / (len(toxic) + 1)) - np.log((m + 0.5) / (len(ordinary) + 1))
-        z = odds / np.sqrt(1 / (n + 0.5) + 1 / (m + 0.5))
-        found += [(z[i], int(a[i]).to_bytes(k, "big")) for i in np.flatnonzero((z > 3) & (odds > 1))]
-    out: list[bytes] = []
-    for _, s in sorted(found, reverse=True):
-        if len(out) < SEGMENTS and not any(s in q or q in s for q in out):
-            out.append(s)
+        x, word = v.segments(k)
+        first = np.flatnonzero(np.r_[True, x[1:] != x[:-1]]) if len(x) else np.zeros(0, np.int64)
+        before = np.r_[0, np.cumsum(v.start[word + 1] - v.start[word])]
+        part = before[first] // PAIRS
+        cuts = [*first[np.flatnonzero(np.r_[True, part[1:] != part[:-1]])], len(x)] if len(x) else []
+        for a, b in zip(cuts, cuts[1:]):
+            which = np.cumsum(np.r_[False, x[a + 1 : b] != x[a : b - 1]])
+            at, text = v.holding(word[a:b])
+            segment, by = np.divmod(distinct(which[at] * every + text), every)
+            good = telling(segment, by, which[-1] + 1) > LEAST
+            keep = good[which[at]]
+            number = np.cumsum(good) - 1 + len(found)
+            rows.append(np.stack([number[which[at][keep]], word[a:b][at[keep]], text[keep]]))
+            found += [int(y).to_bytes(k, "big") for y in x[a:b][np.r_[True, which[1:] != which[:-1]]][good]]
+    segment, word, text = np.concatenate(rows, axis=1)
+    pairs = distinct(segment * every + text)
+    pair = np.searchsorted(pairs, segment * every + text)
+    which, by = np.divmod(pairs, every)
+    left, out = np.ones(len(word), bool), []
+    while found and len(out) < SEGMENTS:
+        some = np.bincount(pair[left], minlength=len(pairs)) > 0
+        z = telling(which[some], by[some], len(found))
+        if z.max() <= LEAST:
+            break
+        best = max(np.flatnonzero(z >= NEAR * z.max()), key=lambda i: (len(found[i]), z[i], found[i]))
+        out.append(found[best])
+        left &= ~np.isin(word, word[segment == best])
     return out
 
 
@@ -140,10 +203,9 @@ def train(toxic: list[str], ordinary: list[str], prior: float) -> dict:
     if not toxic or not ordinary:
         return {"constant": prior}
     common = Counter(w for t in ordinary for w in words_of(t)).most_common(WORDS)
-    model = {
-        "toxic": b"".join(map(spread, reversed(contrast_segments(toxic, ordinary)))),
-        "ordinary": b"".join(spread(b" " + w + b" ") for w, _ in reversed(common)),
-    }
+    usual = b"".join(spread(b" " + w + b" ") for w, _ in reversed(common))
+    # the same text in both: what a toxic segment does not shorten, gains nothing
+    model = {"toxic": usual + b"".join(map(spread, reversed(contrast_segments(toxic, ordinary)))), "ordinary": usual}
     c = Compressors(model["toxic"], model["ordinary"])
     x = np.array([c.features(t) for t in [*toxic, *ordinary]])
     y = np.r_[np.ones(len(toxic)), np.zeros(len(ordinary))]
