@@ -88,3 +88,25 @@ def test_split_parts_hold_bins_and_label_alone(spark):
     df = spark.range(200).select(F.col("id").cast("string").alias("key"), *[(F.col("id") % 5).cast("int").alias(c) for c in C.F18_RANKED], F.lit(1.0).alias("label_bin"))
     train, test = training.split_parts(df)
     assert train.count() + test.count() == 200 and set(train.columns) == {*C.F18_RANKED, "label_bin", "split"}
+
+
+def test_stream_score_joins_once_and_writes_each_value_once(spark, sf_small, monkeypatch):
+    from netsift.plans import queries_stream
+    from netsift.sources import tables
+
+    joins, kept, join, run = [], [], tables.joined_rows, inference.run_to_table
+    monkeypatch.setattr(tables, "joined_rows", lambda *a: joins.append(1) or join(*a))
+    monkeypatch.setattr(inference, "run_to_table", lambda df, name: kept.append(df.columns) or run(df, name))
+    got = queries_stream.stream_score(spark, sf_small)
+    assert len(joins) == 1 and kept == [["topic", "key", "value", "predicted_label", "prediction"]]
+    assert got.count() > 6000
+    df = spark.createDataFrame([("k", "none", 1.0), ("l", "T1", 0.0)], "key string, predicted_label string, prediction double")
+    plan = inference.routed(df, "by_name")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("explode") < plan.index("StructsToJson")  # plans are printed from the top
+
+
+def test_training_records_drop_nulls_after_they_are_staged(spark, sf_small, monkeypatch):
+    staged = []
+    monkeypatch.setattr(training, "cut_lineage", lambda df, split=None: staged.append(plan_of(df)) or cut_lineage(df, split))
+    training.train_eval_f12(spark, sf_small)
+    assert "isnan" not in staged[0]
