@@ -48,13 +48,23 @@ def words_of(text: str) -> list[bytes]:
     return TOKEN.findall(text.lower().encode("utf-8", "replace"))
 
 
+class Spread(dict):
+    """Three bytes for a byte with the two before it, by a fixed linear rule: of it, of it and the one before, of all three."""
+
+    def __missing__(self, three: bytes) -> bytes:
+        p, q, b = three
+        if len(self) >= SEEN:
+            self.clear()
+        out = self[three] = bytes(((b * 167 + 13) & 255, (b * 59 + q * 151 + 101) & 255, (b * 211 + q * 77 + p * 29 + 47) & 255))
+        return out
+
+
+SPREAD = Spread()
+
+
 def spread(word: bytes) -> bytes:
-    """Three bytes for each byte, by a fixed linear rule: of it, of it and the one before, of it and the two before."""
-    out, p, q = bytearray(), 0, 0
-    for b in word:
-        out += bytes(((b * 167 + 13) & 255, (b * 59 + q * 151 + 101) & 255, (b * 211 + q * 77 + p * 29 + 47) & 255))
-        p, q = q, b
-    return bytes(out)
+    w = b"\0\0" + word
+    return b"".join([SPREAD[w[i : i + 3]] for i in range(len(word))])
 
 
 class Vocabulary:
