@@ -110,3 +110,22 @@ def test_training_records_drop_nulls_after_they_are_staged(spark, sf_small, monk
     monkeypatch.setattr(training, "cut_lineage", lambda df, split=None: staged.append(plan_of(df)) or cut_lineage(df, split))
     training.train_eval_f12(spark, sf_small)
     assert "isnan" not in staged[0]
+
+
+def test_staged_trees_keep_the_node_of_each_row(spark):
+    df = spark.range(600).select(
+        ((F.col("id") * 7919) % 97 % 3 == 0).cast("double").alias("label_bin"),
+        F.lit("none").alias(C.LABEL_COL),
+        *[F.concat(F.lit("v"), F.col("id") % (i + 3)).alias(c) for i, c in enumerate(C.CATEGORICAL_COLS)],
+        *[(F.col("id") * (i + 3) % 101).cast("double").alias(c) for i, c in enumerate((*C.NUMERIC_COLS, *C.PORT_COLS))],
+        *[(F.col("id") % (i + 2) == 0).alias(c) for i, c in enumerate(C.BOOLEAN_COLS)],
+    )
+    pipeline, _, _ = training.build_pipeline_f16("binary", num_trees=4, max_depth=7)
+    df = df.coalesce(1)
+    walked, kept = pipeline.fit(df).stages[-1], training.fit_staged(pipeline, df).stages[-1]
+    assert kept.getCacheNodeIds() and kept.getCheckpointInterval() == -1
+    assert not pipeline.getStages()[-1].getCacheNodeIds()
+    assert max(t.depth for t in kept.trees) > 4
+    # the first line names the model
+    nodes = lambda model: [t.toDebugString.splitlines()[1:] for t in model.trees]
+    assert nodes(kept) == nodes(walked)
