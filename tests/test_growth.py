@@ -1,14 +1,16 @@
 """Work that grows no faster than the input: joins, scans and files of bounded size."""
 
+import time
+
 import pytest
 from pyspark.sql import functions as F
 
 from netsift import config as C
 from netsift.operators import features
-from netsift.plans import queries_runs, training
-from netsift.session import cut_lineage, small_scans
+from netsift.plans import concurrent, queries_runs, queries_stream, training
+from netsift.session import RELEASE_CONF, cut_lineage, released_shuffles, scratch_path, small_scans
 from netsift.sources import shared
-from netsift.streaming import inference
+from netsift.streaming import delivery, inference
 
 
 def plan_of(df) -> str:
@@ -129,3 +131,60 @@ def test_staged_trees_keep_the_node_of_each_row(spark):
     # the first line names the model
     nodes = lambda model: [t.toDebugString.splitlines()[1:] for t in model.trees]
     assert nodes(kept) == nodes(walked)
+
+
+def shuffle_files(spark) -> set[str]:
+    files = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    return {n for n in (files.apply(i).getName() for i in range(files.size())) if n.startswith("shuffle_")}
+
+
+def left_by(spark, work) -> set[str]:
+    """Shuffle files that are still there some seconds after ``work`` (they are removed in the background)."""
+    before = shuffle_files(spark)
+    work()
+    for _ in range(100):
+        if not (left := shuffle_files(spark) - before):
+            break
+        time.sleep(0.1)
+    return left
+
+
+def test_staged_tables_leave_no_shuffle_files(spark):
+    df = spark.range(4000).groupBy((F.col("id") % 97).alias("k")).count()
+    assert left_by(spark, lambda: cut_lineage(df)) == set()
+    assert left_by(spark, lambda: concurrent.staged_by(df.withColumn("half", F.col("k") % 2), "half", "release-test")) == set()
+    wire = df.repartition(3).select(F.lit("k").alias("key"), F.col("k").cast("string").alias("value"))
+    path = scratch_path(spark, "release-wire")
+    assert left_by(spark, lambda: inference.stage_kafka_twin(wire, path)) == set()
+    assert all(n.endswith(".zstd.parquet") for n in shared.names(spark, path)) and spark.read.parquet(path).count() == 97
+
+
+def test_delivered_batches_leave_no_shuffle_files(spark):
+    df, base = spark.range(500).select(F.col("id").cast("string").alias("value")), scratch_path(spark, "release-delivery")
+    assert left_by(spark, lambda: delivery.deliver_batch(df, 0, delivery.FolderTransport(f"{base}/sink"), f"{base}/log")) == set()
+    assert delivery.read_delivered(spark, f"{base}/sink", f"{base}/log").count() == 500
+
+
+def test_shuffles_are_released_inside_alone(spark):
+    was = spark.conf.get(RELEASE_CONF, None)
+    with released_shuffles(spark):
+        with released_shuffles(spark):
+            pass
+        assert spark.conf.get(RELEASE_CONF) == "true"
+    assert spark.conf.get(RELEASE_CONF, None) == was
+
+
+def test_wire_files_go_with_their_batches(spark, sf_small, monkeypatch):
+    monkeypatch.setattr(inference, "FILE_RECORDS", 50)
+    folders, stage = [], inference.stage_kafka_twin
+    monkeypatch.setattr(inference, "stage_kafka_twin", lambda df, path: folders.append(path) or stage(df, path))
+    raw = queries_stream._wire_stream(spark, sf_small)
+    records, files = spark.read.parquet(folders[0]).count(), len(shared.names(spark, folders[0]))
+    assert files > 64
+    got = inference.run_to_table(raw.select("key", "value"), "wire-files")
+    assert got.count() == records
+    for _ in range(100):
+        if len(shared.names(spark, folders[0])) <= files - 64:
+            break
+        time.sleep(0.1)
+    assert len(shared.names(spark, folders[0])) <= files - 64
