@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from netsift import config as C
 from netsift.operators import features
 from netsift.plans import concurrent, queries_runs, queries_stream, training
-from netsift.session import RELEASE_CONF, cut_lineage, released_shuffles, scratch_path, small_scans
+from netsift.session import RELEASE_CONF, cut_lineage, released_shuffles, scratch_path, small_scans, storage_memory
 from netsift.sources import shared
 from netsift.streaming import delivery, inference
 
@@ -133,6 +133,24 @@ def test_staged_trees_keep_the_node_of_each_row(spark):
     assert nodes(kept) == nodes(walked)
 
 
+def test_nodes_are_not_kept_beyond_the_executors_memory(spark, monkeypatch):
+    df = spark.range(300).select(
+        (F.col("id") % 3 == 0).cast("double").alias("label_bin"),
+        F.lit("none").alias(C.LABEL_COL),
+        *[F.concat(F.lit("v"), F.col("id") % (i + 3)).alias(c) for i, c in enumerate(C.CATEGORICAL_COLS)],
+        *[(F.col("id") * (i + 3) % 101).cast("double").alias(c) for i, c in enumerate((*C.NUMERIC_COLS, *C.PORT_COLS))],
+        *[(F.col("id") % (i + 2) == 0).alias(c) for i, c in enumerate(C.BOOLEAN_COLS)],
+    ).coalesce(1)
+    pipeline, _, _ = training.build_pipeline_f16("binary", num_trees=3, max_depth=4)
+    kept = training.fit_staged(pipeline, df).stages[-1]
+    assert storage_memory(spark) > 100 << 20
+    width = len(pipeline.getStages()[-2].getInputCols())
+    monkeypatch.setattr(training, "storage_memory", lambda _: 300 * training.cached_bytes(width, 3, nodes=True) - 1)
+    walked = training.fit_staged(pipeline, df).stages[-1]
+    assert kept.getCacheNodeIds() and not walked.getCacheNodeIds()
+    assert [t.toDebugString.splitlines()[1:] for t in walked.trees] == [t.toDebugString.splitlines()[1:] for t in kept.trees]
+
+
 def shuffle_files(spark) -> set[str]:
     files = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
     return {n for n in (files.apply(i).getName() for i in range(files.size())) if n.startswith("shuffle_")}
