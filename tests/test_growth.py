@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from netsift import config as C
 from netsift.operators import features
 from netsift.plans import concurrent, queries_runs, queries_stream, training
-from netsift.session import RELEASE_CONF, cut_lineage, released_shuffles, scratch_path, small_scans, storage_memory
+from netsift.session import STAGING_CONF, cut_lineage, scratch_path, small_scans, staging, storage_memory
 from netsift.sources import shared
 from netsift.streaming import delivery, inference
 
@@ -183,13 +183,19 @@ def test_delivered_batches_leave_no_shuffle_files(spark):
     assert delivery.read_delivered(spark, f"{base}/sink", f"{base}/log").count() == 500
 
 
-def test_shuffles_are_released_inside_alone(spark):
-    was = spark.conf.get(RELEASE_CONF, None)
-    with released_shuffles(spark):
-        with released_shuffles(spark):
+def test_staging_settings_hold_inside_alone(spark):
+    now = lambda: {k: spark.conf.get(k, None) for k in STAGING_CONF}
+    was = now()
+    with staging(spark):
+        with staging(spark):
             pass
-        assert spark.conf.get(RELEASE_CONF) == "true"
-    assert spark.conf.get(RELEASE_CONF, None) == was
+        assert now() == STAGING_CONF
+    assert now() == was != STAGING_CONF
+
+
+def test_fits_at_once_share_the_executors_memory(spark, monkeypatch):
+    monkeypatch.setattr(training, "storage_memory", lambda _: 1000 * training.cached_bytes(18, 20))
+    assert [training.fits_at_once(spark, rows, 18, 4) for rows in (0, 200, 400, 1000, 10**9)] == [4, 4, 2, 1, 1]
 
 
 def test_wire_files_go_with_their_batches(spark, sf_small, monkeypatch):
